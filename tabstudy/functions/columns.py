@@ -32,7 +32,10 @@ def label_of(column: str, value: object) -> Column:
 
 
 def round_half_even(column: Column | str, decimals: int) -> Column:
-    return F.bround(column, decimals)
+    """Nearest multiple of 10^-decimals, halves to even, in double arithmetic throughout."""
+    c = F.col(column) if isinstance(column, str) else column
+    scale = F.lit(float(10**decimals))
+    return F.rint(c.cast("double") * scale) / scale
 
 
 def to_int(column: Column | str, strict: bool = True) -> Column:

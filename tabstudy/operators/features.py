@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark import keyword_only
@@ -144,10 +145,10 @@ def preprocessor(
             stages.append(MedianImputer(inputCols=numeric, outputCols=num_in))
         if categorical:
             stages.append(ModeImputer(inputCols=categorical, outputCols=cat_in))
-    scaled = [f"{c}__z" for c in numeric]
+    scaled = [f"{c}__z" for c in num_in]
     if numeric:
         stages.append(ZScore(inputCols=num_in, outputCols=scaled))
-    hot = [f"{c}__hot" for c in categorical]
+    hot = [f"{c}__hot" for c in cat_in]
     if categorical:
         index = [f"{c}__i" for c in categorical]
         order, invalid = ("alphabetDesc", "error") if drop_first else ("alphabetAsc", "keep")
@@ -169,7 +170,7 @@ def feature_names(encoded: DataFrame, output: str = FEATURES) -> list[str]:
     """Slot names in vector order, from the column's ML attributes."""
     groups = encoded.schema[output].metadata["ml_attr"]["attrs"].values()
     slots = sorted((slot for group in groups for slot in group), key=lambda s: s["idx"])
-    return [s["name"].replace("__filled", "").replace("__z", "").replace("__hot", "").replace("__i", "") for s in slots]
+    return [re.sub(r"__z$|__hot(?=_)", "", re.sub(r"__filled(?=__)", "", s["name"])) for s in slots]
 
 
 def encoded_width(encoded: DataFrame, output: str = FEATURES) -> int:

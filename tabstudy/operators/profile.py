@@ -7,7 +7,7 @@ from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tabstudy.functions.columns import outside, percent_of
+from tabstudy.functions.columns import outside, percent_of, round_half_even
 from tabstudy.functions.text import percent_text, thousands
 from tabstudy.operators.quantiles import EXACT_LIMIT, quantile_table
 from tabstudy.session import SMALL_ROWS, collect_bounded
@@ -37,7 +37,7 @@ def value_shares(df: DataFrame, column: str, decimals: int | None = 2) -> DataFr
     total = df.agg(F.count(column)).first()[0]
     share = percent_of(F.col("count"), F.lit(total))
     if decimals is not None:
-        share = F.bround(share, decimals)
+        share = round_half_even(share, decimals)
     return value_counts(df, column).select(column, share.alias("percentage"))
 
 
@@ -68,7 +68,7 @@ def _category_counts(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame,
 def categorical_profile(df: DataFrame, columns: Sequence[str], decimals: int = 2) -> DataFrame:
     """(column, cardinality, value, count, percentage) of all ``columns`` from one scan."""
     counts, totals = _category_counts(df, columns)
-    share = F.bround(percent_of(F.col("count"), F.col("total")), decimals)
+    share = round_half_even(percent_of(F.col("count"), F.col("total")), decimals)
     return (
         counts.join(totals, "column")
         .select("column", "cardinality", "value", "count", share.alias("percentage"))
@@ -170,7 +170,7 @@ def describe(
             value = F.col(f"{statistic}:{column}")
         else:
             value = F.lit(known[column][statistic] if column in known else None).cast("double")
-        return F.bround(value, decimals).alias(column)
+        return round_half_even(value, decimals).alias(column)
 
     entries = [F.struct(F.lit(s).alias("statistic"), *[cell(s, c) for c in columns]) for s in order]
     return row.select(F.inline(F.array(*entries)))
@@ -229,7 +229,7 @@ def class_distribution(df: DataFrame, split: str, label: str, decimals: int = 4)
             F.col(f"c.{split}").alias(split),
             F.col(f"c.{label}").alias(label),
             "n",
-            F.bround(F.col("n") / F.col("total"), decimals).alias("share"),
+            round_half_even(F.col("n") / F.col("total"), decimals).alias("share"),
         )
         .orderBy(split, label)
     )

@@ -7,6 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tabstudy.functions.columns import round_half_even
 from tabstudy.session import SMALL_ROWS, collect_bounded
 
 # Semantic schema of the fares study table. A blank CSV header is called _c0.
@@ -77,7 +78,7 @@ def round_floats(df: DataFrame, decimals: int) -> DataFrame:
     floats = (T.DoubleType, T.FloatType)
     return df.select(
         *[
-            F.bround(f.name, decimals).alias(f.name) if isinstance(f.dataType, floats) else F.col(f.name)
+            round_half_even(f.name, decimals).alias(f.name) if isinstance(f.dataType, floats) else F.col(f.name)
             for f in df.schema.fields
         ]
     )
