@@ -48,36 +48,38 @@ def density(t: Tables):
 
 BOX_SQL = """WITH q AS (SELECT o_orderpriority AS g, quantile_cont(o_totalprice, 0.25) AS q1,
   quantile_cont(o_totalprice, 0.5) AS median, quantile_cont(o_totalprice, 0.75) AS q3 FROM {0} GROUP BY 1)"""
-SQUARED = "(SELECT o_orderpriority, o_totalprice * o_totalprice / 1e6 AS o_totalprice FROM orders)"
+SKEWED = """(SELECT o_orderpriority, (o_totalprice / 1e5) * (o_totalprice / 1e5) * (o_totalprice / 1e5)
+  * (o_totalprice / 1e5) AS o_totalprice FROM orders)"""
 
 
 @bind(
     "viz_03_box",
-    BOX_SQL.format(SQUARED)
+    BOX_SQL.format(SKEWED)
     + f"""SELECT g AS o_orderpriority, round(q1, 4) AS q1, round(median, 4) AS median, round(q3, 4) AS q3,
     round(min(o_totalprice) FILTER (WHERE o_totalprice >= q1 - 1.5 * (q3 - q1)), 4) AS whisker_low,
     round(max(o_totalprice) FILTER (WHERE o_totalprice <= q3 + 1.5 * (q3 - q1)), 4) AS whisker_high,
     count(*) FILTER (WHERE o_totalprice < q1 - 1.5 * (q3 - q1) OR o_totalprice > q3 + 1.5 * (q3 - q1)) AS fliers
-    FROM {SQUARED} JOIN q ON g = o_orderpriority GROUP BY g, q1, median, q3""",
+    FROM {SKEWED} JOIN q ON g = o_orderpriority GROUP BY g, q1, median, q3""",
 )
 def box(t: Tables):
-    b = V.box_stats(_squared(t), "o_orderpriority", "o_totalprice")
+    b = V.box_stats(_skewed(t), "o_orderpriority", "o_totalprice")
     exact = ("o_orderpriority", "fliers")
     return b.select(*[F.col(c) if c in exact else F.round(c, 4).alias(c) for c in b.columns])
 
 
-def _squared(t: Tables):
-    return t.orders.select("o_orderpriority", (F.col("o_totalprice") * F.col("o_totalprice") / 1e6).alias("o_totalprice"))
+def _skewed(t: Tables):
+    x = F.col("o_totalprice") / 1e5
+    return t.orders.select("o_orderpriority", (x * x * x * x).alias("o_totalprice"))
 
 
 @bind(
     "viz_03_box_fliers",
-    BOX_SQL.format(SQUARED)
-    + f"""SELECT o_orderpriority, round(o_totalprice, 4) AS o_totalprice FROM {SQUARED} JOIN q ON g = o_orderpriority
+    BOX_SQL.format(SKEWED)
+    + f"""SELECT o_orderpriority, round(o_totalprice, 4) AS o_totalprice FROM {SKEWED} JOIN q ON g = o_orderpriority
     WHERE o_totalprice < q1 - 1.5 * (q3 - q1) OR o_totalprice > q3 + 1.5 * (q3 - q1)""",
 )
 def box_fliers(t: Tables):
-    f = V.box_fliers(_squared(t), "o_orderpriority", "o_totalprice")
+    f = V.box_fliers(_skewed(t), "o_orderpriority", "o_totalprice")
     return f.select("o_orderpriority", F.round("o_totalprice", 4).alias("o_totalprice"))
 
 
