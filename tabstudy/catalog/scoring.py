@@ -139,7 +139,11 @@ def _round_errors(m):
     return m.select(*[F.round(c, places[c]).alias(c) if c in places else F.col(c) for c in m.columns])
 
 
-@bind("met_08_mse_rmse", f"SELECT {', '.join(error_sql('a').split(', round')[:1])}, round(sqrt(avg((y - a) * (y - a))), 6) AS rmse FROM {RULES}")
+@bind(
+    "met_08_mse_rmse",
+    f"""SELECT round(avg((y - a) * (y - a)), 4) AS mse, round(sqrt(avg((y - a) * (y - a))), 6) AS rmse
+    FROM {RULES}""",
+)
 def mse_rmse(t: Tables):
     return _round_errors(rules(t).agg(M.mse("y", "a").alias("mse"), F.sqrt(M.mse("y", "a")).alias("rmse")))
 

@@ -184,7 +184,7 @@ class NeuralNet(Estimator):
             passed = passed.groupBy("slot").applyInPandas(_merge, PASS_SCHEMA)
         merged = _merge(passed.toPandas()).iloc[0]  # at most MERGE_GROUPS rows
         shared.destroy()
-        return network.unpack(np.asarray(merged["state"]), state), merged["loss"] / merged["n"]
+        return network.unpack(np.asarray(merged["state"]), state), float(merged["loss"] / merged["n"])
 
 
 def _merge(parts: pd.DataFrame) -> pd.DataFrame:

@@ -30,12 +30,16 @@ def boosting(
     label: str = "label",
     max_bins: int = MAX_BINS,
 ) -> GBTRegressor:
-    """Least-squares boosting; every round fits the residuals of the sum so far."""
+    """Least-squares boosting; every round adds ``rate`` times a tree fitted to the residuals.
+
+    The learner fits twice the residuals (the derivative of the squared error), so it is given
+    half the rate. Its first tree is fitted to the label itself and enters at full weight.
+    """
     return GBTRegressor(
         labelCol=label,
         maxIter=rounds,
         maxDepth=depth,
-        stepSize=rate,
+        stepSize=rate / 2,
         maxBins=max_bins,
         maxMemoryInMB=1024,
         seed=seed,

@@ -23,34 +23,48 @@ from tabstudy.operators.neighbours import nearest_neighbours
 HASH = "__row_key"
 
 
-def keep_all(train: DataFrame) -> DataFrame:
+def keep_all(train: DataFrame, copies: str = "") -> DataFrame:
     """The no-op baseline."""
-    return train
+    return train.withColumn(copies, F.lit(0)) if copies else train
 
 
 def _draw_text(tag: str, seed: int | str, number: str = "id") -> Column:
     return F.concat(F.lit(f"{tag}|{seed}|"), F.col(number).cast("string"))
 
 
-def _repeat(rows: DataFrame, times: str) -> DataFrame:
+def _repeat(rows: DataFrame, times: str, copies: str) -> DataFrame:
     """Each row ``times`` times. Draws are spread evenly, so counts per row stay small."""
-    return rows.withColumn("__i", F.explode(F.sequence(F.lit(1), F.col(times).cast("int")))).drop("__i", times)
+    return rows.withColumn(copies, F.explode(F.sequence(F.lit(1), F.col(times).cast("int"))))
 
 
-def random_oversample(train: DataFrame, label: str, key: Sequence[str | Column], seed: int | str = 42) -> DataFrame:
-    """All rows plus, per smaller class, draws with replacement up to the largest class."""
+def random_oversample(
+    train: DataFrame, label: str, key: Sequence[str | Column], seed: int | str = 42, copies: str = ""
+) -> DataFrame:
+    """All rows plus, per smaller class, draws with replacement up to the largest class.
+
+    ``copies`` names a column for the copy number (0 for the rows themselves), which
+    completes the key of a drawn row.
+    """
     sizes = {c: n for c, n in class_sizes(train, label).items() if c is not None}
     target = max(sizes.values(), default=0)
+    train = train.withColumn(copies, F.lit(0)) if copies else train
     out = train
     for cls in sorted(sizes, key=str):
         missing = target - sizes[cls]
         if missing:
-            out = out.unionByName(_drawn(train, label, cls, sizes[cls], missing, key, seed))
+            out = out.unionByName(_drawn(train, label, cls, sizes[cls], missing, key, seed, copies))
     return out
 
 
 def _drawn(
-    train: DataFrame, label: str, cls: object, n: int, draws: int, key: Sequence[str | Column], seed: int | str
+    train: DataFrame,
+    label: str,
+    cls: object,
+    n: int,
+    draws: int,
+    key: Sequence[str | Column],
+    seed: int | str,
+    copies: str,
 ) -> DataFrame:
     """``draws`` rows of one class with replacement, by number of draws per row."""
     rows = train.where(F.col(label) == F.lit(cls)).withColumn(HASH, hash_key(key, seed))
@@ -59,11 +73,14 @@ def _drawn(
     counts = (
         train.sparkSession.range(draws).groupBy(picked.alias("idx")).agg(F.count(F.lit(1)).alias("__times"))
     )
-    return _repeat(indexed.join(counts, "idx").drop("idx", HASH), "__times").select(*train.columns)
+    return _repeat(indexed.join(counts, "idx"), "__times", copies or "__copy").select(*train.columns)
 
 
-def random_undersample(train: DataFrame, label: str, key: Sequence[str | Column], seed: int | str = 42) -> DataFrame:
+def random_undersample(
+    train: DataFrame, label: str, key: Sequence[str | Column], seed: int | str = 42, copies: str = ""
+) -> DataFrame:
     """Every class cut to the size of the smallest, without replacement."""
+    train = train.withColumn(copies, F.lit(0)) if copies else train
     sizes = {c: n for c, n in class_sizes(train, label).items() if c is not None}
     target = min(sizes.values(), default=0)
     keyed = train.where(F.col(label).isNotNull()).withColumn(HASH, hash_key(key, seed))
@@ -85,7 +102,9 @@ def class_weights(sizes: dict) -> dict:
     return {c: (total - n) / total for c, n in sizes.items()}
 
 
-def weighted_bootstrap(train: DataFrame, label: str, key: Sequence[str | Column], seed: int | str = 42) -> DataFrame:
+def weighted_bootstrap(
+    train: DataFrame, label: str, key: Sequence[str | Column], seed: int | str = 42, copies: str = ""
+) -> DataFrame:
     """As many draws with replacement as there are rows, by class-balancing weights.
 
     A draw picks a class by the classes' weight mass and a row inside it evenly, which is
@@ -120,7 +139,8 @@ def weighted_bootstrap(train: DataFrame, label: str, key: Sequence[str | Column]
     keyed = train.where(F.col(label).isNotNull()).withColumn(HASH, hash_key(key, seed))
     indexed = dense_index(keyed, HASH, max(sizes.values()), by=label)
     hit = (F.col(label) == F.col("__cls")) & (F.col("idx") == F.col("__idx"))
-    return _repeat(indexed.join(counts, hit), "__times").select(*train.columns)
+    drawn = _repeat(indexed.join(counts, hit), "__times", copies or "__copy")
+    return drawn.select(*[c for c in train.columns if c != copies], *([copies] if copies else []))
 
 
 def smote(
@@ -135,12 +155,13 @@ def smote(
 
     ``features`` is an ARRAY<DOUBLE>. A synthetic row is x + u (neighbour - x) for a drawn
     base row x, one of its ``k`` nearest rows of the same class and a drawn gap u. The result
-    has the columns (key, features, label, synthetic); synthetic rows have a null key.
+    has the columns (key, features, label, synthetic, draw); a synthetic row has a null key and
+    the number of its draw, which is null for the rows themselves.
     """
     sizes = {c: n for c, n in class_sizes(train, label).items() if c is not None}
     target = max(sizes.values(), default=0)
     base = train.select(key, features, label)
-    out = base.withColumn("synthetic", F.lit(False))
+    out = base.withColumns({"synthetic": F.lit(False), "draw": F.lit(None).cast("bigint")})
     for cls in sorted(sizes, key=str):
         missing = target - sizes[cls]
         if missing:
@@ -154,6 +175,7 @@ def smote(
                     F.col("point").alias(features),
                     F.lit(cls).cast(train.schema[label].dataType).alias(label),
                     F.lit(True).alias("synthetic"),
+                    "draw",
                 )
             )
     return out

@@ -120,6 +120,7 @@ def balancing(
     """
     spark = train.sparkSession
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    evaluation = evaluation.persist(StorageLevel.MEMORY_AND_DISK)
     rows, fitted = [], {}
     try:
         for name, sampler in samplers.items():
@@ -142,6 +143,7 @@ def balancing(
             fitted[name] = model
     finally:
         train.unpersist()
+        evaluation.unpersist()
     names = list(rows[0])
     kinds = {"technique": "string", "iterations": "int", "n0": "bigint", "n1": "bigint", "train_rows": "bigint"}
     schema = ", ".join(f"{c} {kinds.get(c, 'double')}" for c in names)
