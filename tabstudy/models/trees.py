@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 
-MAX_BINS = 256
+MAX_BINS = 128
 
 
 def forest(
@@ -17,7 +17,8 @@ def forest(
         maxDepth=depth,
         featureSubsetStrategy="all",
         maxBins=max_bins,
-        maxMemoryInMB=1024,  # more nodes per pass over the rows
+        maxMemoryInMB=512,  # more nodes per pass over the rows
+        cacheNodeIds=True,
         seed=seed,
     )
 
@@ -41,6 +42,6 @@ def boosting(
         maxDepth=depth,
         stepSize=rate / 2,
         maxBins=max_bins,
-        maxMemoryInMB=1024,
+        maxMemoryInMB=512,
         seed=seed,
     )
