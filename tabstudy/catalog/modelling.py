@@ -16,6 +16,7 @@ from tabstudy.models.trees import boosting, forest
 from tabstudy.operators import features as FE
 from tabstudy.operators.profile import drop_identifiers
 from tabstudy.plans import experiment as E
+from tabstudy.session import hold_spread
 
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
@@ -211,13 +212,22 @@ def logistic_sql(steps: int = 9) -> str:
 
 
 def returned(t: Tables) -> DataFrame:
-    rows = t.lineitem.select((F.col("l_quantity") / 50).alias("x"), label_of("l_returnflag", "R").cast("double").alias("label"))
+    label = label_of("l_returnflag", "R").cast("double").alias("label")
+    rows = t.lineitem.select((F.col("l_quantity") / 50).alias("x"), label)
     return VectorAssembler(inputCols=["x"], outputCol="features").transform(rows)
 
 
+def fit_returned(t: Tables, classifier: Logistic):
+    train = hold_spread(returned(t))
+    try:
+        return classifier.fit(train)
+    finally:
+        train.unpersist()
+
+
 @bind("ml_01_logistic", logistic_sql())
 def logistic(t: Tables):
-    model = Logistic(tol=1e-12).fit(returned(t))
+    model = fit_returned(t, Logistic(tol=1e-12))
     found = [(round(float(model.coefficients[0]), 5), round(float(model.intercept), 5))]
     return t.spark.createDataFrame(found, "weight double, intercept double")
 
@@ -225,7 +235,7 @@ def logistic(t: Tables):
 @bind("ml_02_logistic_loose", "SELECT true AS near, count(*) AS n FROM lineitem")
 def logistic_loose(t: Tables):
     """The same objective with the looser stopping rule: probabilities agree to one per cent."""
-    rows = returned(t)
+    rows = hold_spread(returned(t))
     tight = Logistic(tol=1e-12, predictionCol="p1").fit(rows).setProbabilityCol("q1").setRawPredictionCol("r1")
     loose = Logistic(maxIter=500, tol=1e-3, predictionCol="p2").fit(rows).setProbabilityCol("q2").setRawPredictionCol("r2")
     both = loose.transform(tight.transform(rows))
@@ -371,7 +381,7 @@ def deep_network(t: Tables):
 @bind("ml_11_predict_class", "SELECT l_returnflag, 0.0::DOUBLE AS prediction, count(*) AS n FROM lineitem GROUP BY 1")
 def predict_class(t: Tables):
     """The flag does not depend on the quantity, so every row gets the larger class."""
-    model = Logistic(tol=1e-9).fit(returned(t))
+    model = fit_returned(t, Logistic(tol=1e-9))
     rows = t.lineitem.select((F.col("l_quantity") / 50).alias("x"), "l_returnflag")
     scored = model.transform(VectorAssembler(inputCols=["x"], outputCol="features").transform(rows))
     return scored.groupBy("l_returnflag", "prediction").agg(F.count(F.lit(1)).alias("n"))
@@ -383,7 +393,7 @@ def predict_class(t: Tables):
     + " SELECT x, round(1 / (1 + exp(-(w * x + b))), 4) AS probability, n FROM d, w9",
 )
 def predict_probability(t: Tables):
-    model = Logistic(tol=1e-12).fit(returned(t))
+    model = fit_returned(t, Logistic(tol=1e-12))
     rows = returned(t).groupBy("x").agg(F.count(F.lit(1)).alias("n"))
     scored = model.transform(VectorAssembler(inputCols=["x"], outputCol="features").transform(rows))
     return E.positive_scores(model, scored).select("x", F.round("score", 4).alias("probability"), "n")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
+from tabstudy.session import small_table
 
 # A dict becomes a chain of comparisons inside codegen up to this size, a join above it.
 INLINE_LOOKUP = 64
@@ -67,11 +68,11 @@ def map_values(df: DataFrame, column: str, mapping: Mapping, output: str) -> Dat
             chain = F.when(test, F.lit(value)) if chain is None else chain.when(test, F.lit(value))
         return df.withColumn(output, F.lit(None) if chain is None else chain)
     key_type = df.schema[column].dataType
-    probe = df.sparkSession.createDataFrame([(v,) for v in mapping.values()], [output])
+    probe = df.sparkSession.createDataFrame([(v,) for v in mapping.values()], [output])  # for its type
     schema = T.StructType(
         [T.StructField("__key", key_type), T.StructField(output, probe.schema[output].dataType)]
     )
-    lookup = df.sparkSession.createDataFrame(list(mapping.items()), schema)
+    lookup = small_table(df.sparkSession, list(mapping.items()), schema)
     return df.join(lookup, F.col(column) == F.col("__key"), "left").drop("__key")
 
 
@@ -91,7 +92,7 @@ def where_in(df: DataFrame, allowed: Mapping[str, Sequence]) -> DataFrame:
             df = df.where(F.col(column).isin(list(values)))
         else:
             schema = T.StructType([T.StructField(column, df.schema[column].dataType)])
-            keys = df.sparkSession.createDataFrame([(v,) for v in values], schema)
+            keys = small_table(df.sparkSession, [(v,) for v in values], schema)
             df = df.join(keys, column, "left_semi")
     return df
 

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tabstudy.models import network
 from tabstudy.operators.keyed import hash_key
 from tabstudy.operators.split import assign_splits
+from tabstudy.session import small_table
 
 MERGE_GROUPS = 32
 SHARD_ROWS = 25_000  # below this a shard costs more in averaging than it saves
@@ -263,7 +264,7 @@ class NeuralNetModel(Model):
     def history(self, df: DataFrame, series: str = "net") -> DataFrame:
         """(series, epoch, train_loss, val_loss, val_rmse)."""
         schema = "series string, epoch int, train_loss double, val_loss double, val_rmse double"
-        return df.sparkSession.createDataFrame([(series, *r[:4]) for r in self.rows], schema)
+        return small_table(df.sparkSession, [(series, *r[:4]) for r in self.rows], schema)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         shape = self.shape

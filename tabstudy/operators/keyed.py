@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from tabstudy.session import SMALL_ROWS, collect_bounded
+from tabstudy.session import SMALL_ROWS, collect_bounded, small_table
 
 DIGITS = 13  # hex digits of the key used for brackets: exact in a double
 SPACE = 16**DIGITS
@@ -106,7 +106,7 @@ def _bracket_table(keyed: DataFrame, rows: list[tuple], by: str | None) -> DataF
         T.StructField("hi", T.StringType()),
     ]
     data = rows if by else [r[1:] for r in rows]
-    return keyed.sparkSession.createDataFrame(data, T.StructType(fields))
+    return small_table(keyed.sparkSession, data, T.StructType(fields))
 
 
 def _hex(x: int) -> str:
@@ -216,7 +216,7 @@ def dense_index(df: DataFrame, key: str, n: int, output: str = "idx", by: str |
             T.StructField("__offset", T.LongType()),
         ]
     )
-    table = df.sparkSession.createDataFrame(offsets, schema)
+    table = small_table(df.sparkSession, offsets, schema)
     match = F.col("__p") == F.col("__prefix")
     if by:
         match = match & F.col(by).eqNullSafe(F.col("__by"))

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from tabstudy.session import small_table
 
 SCORE_BUCKETS = 256
 
@@ -140,8 +141,7 @@ def score_counts(df: DataFrame, label: str, score: str, positive: object = 1) ->
         below = totals[i + 1]["top"] if i + 1 < len(totals) else None
         above.append((r["bucket"], tp, fp, below["pos"] if below else None, below["neg"] if below else None))
         tp, fp = tp + r["pos"], fp + r["neg"]
-    table = df.sparkSession.createDataFrame(
-        above, "bucket double, above_pos bigint, above_neg bigint, below_pos bigint, below_neg bigint"
+    table = small_table(df.sparkSession, above, "bucket double, above_pos bigint, above_neg bigint, below_pos bigint, below_neg bigint"
     )
     down = Window.partitionBy("bucket").orderBy(F.desc("score"))
     upto = down.rowsBetween(Window.unboundedPreceding, 0)
@@ -192,5 +192,5 @@ def roc_curve(
         F.try_divide("tp", "all_pos").alias("tpr"),
         F.col("score").alias("threshold"),
     )
-    corner = df.sparkSession.createDataFrame([(0.0, 0.0, float("inf"))], "fpr double, tpr double, threshold double")
+    corner = small_table(df.sparkSession, [(0.0, 0.0, float("inf"))], "fpr double, tpr double, threshold double")
     return corner.unionByName(points)

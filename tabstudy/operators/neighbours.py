@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tabstudy.operators.keyed import hash_key
-from tabstudy.session import cut_lineage
+from tabstudy.session import cut_lineage, small_table
 
 MAX_PIVOTS = 1024
 PIECE = 4096  # vectors of one role in one search task
@@ -112,7 +112,7 @@ def _nearest_vectors(folded: DataFrame, want: int, piece: int) -> DataFrame:
         (int(r["cell"]), max(1, math.ceil(queries_in[r["cell"]] / piece)), max(1, math.ceil(r["count"] / piece)))
         for r in sizes
     ]
-    pieces = spark.createDataFrame(plan, "cell int, q_parts int, c_parts int")
+    pieces = small_table(spark, plan, "cell int, q_parts int, c_parts int")
     # a query meets every candidate piece of its cell, a candidate every query piece
     is_query = F.col("role") == 0
     other = F.explode(F.sequence(F.lit(0), F.when(is_query, F.col("c_parts")).otherwise(F.col("q_parts")) - 1))

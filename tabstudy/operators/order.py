@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
+from tabstudy.session import small_table
 
 
 def sort_rows(df: DataFrame, by: Sequence[str], ascending: Sequence[bool] | bool = True) -> DataFrame:
@@ -42,7 +43,7 @@ def reindex(df: DataFrame, key: str, order: Sequence, missing: str = "null") ->
     schema = T.StructType(
         [T.StructField("__pos", T.IntegerType()), T.StructField(key, df.schema[key].dataType)]
     )
-    wanted = df.sparkSession.createDataFrame(list(enumerate(order)), schema)
+    wanted = small_table(df.sparkSession, list(enumerate(order)), schema)
     if missing == "raise":
         found = {r[0] for r in df.join(wanted, key, "left_semi").select(key).distinct().collect()}
         absent = [v for v in order if v not in found]

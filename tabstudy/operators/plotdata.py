@@ -11,7 +11,7 @@ from tabstudy.functions.columns import percent_of, within_axes
 from tabstudy.operators.keyed import hash_key, lowest_rows
 from tabstudy.operators.profile import value_counts
 from tabstudy.operators.quantiles import EXACT_LIMIT, quantile_table
-from tabstudy.session import SMALL_ROWS, collect_bounded, hold_small
+from tabstudy.session import SMALL_ROWS, collect_bounded, hold_small, small_table
 
 # A Gaussian this many bandwidths away adds less than 1e-17 of its peak.
 KDE_REACH = 9.0
@@ -27,7 +27,7 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     x = _clean(df, column)
     lo, hi = x.agg(F.min("x"), F.max("x")).first()
     if lo is None:
-        return df.sparkSession.createDataFrame([], "bin int, left double, right double, count bigint")
+        return small_table(df.sparkSession, [], "bin int, left double, right double, count bigint")
     if lo == hi:
         lo, hi = lo - 0.5, hi + 0.5
     place = F.least(F.lit(bins - 1), F.floor((F.col("x") - lo) / (hi - lo) * bins).cast("int"))
@@ -56,7 +56,7 @@ def density_curve(df: DataFrame, column: str, points: int = 200, bins: int | Non
     x = _clean(df, column)
     n, sd, lo, hi = x.agg(F.count("x"), F.stddev_samp("x"), F.min("x"), F.max("x")).first()
     if not n or n < 2 or not sd:
-        return df.sparkSession.createDataFrame([], "point int, x double, density double")
+        return small_table(df.sparkSession, [], "point int, x double, density double")
     h = sd * n ** (-1 / 5)
     step = (hi - lo) / (points - 1)
     reach = KDE_REACH * h
@@ -154,7 +154,7 @@ def frequency_bars(df: DataFrame, column: str) -> DataFrame:
     held = collect_bounded(bars, SMALL_ROWS, f"bars of {column}")
     schema = T.StructType([*bars.schema.fields, T.StructField("position", T.IntegerType())])
     ranked = [(r[0], r[1], i + 1) for i, r in enumerate(held)]
-    return df.sparkSession.createDataFrame(ranked, schema)
+    return small_table(df.sparkSession, ranked, schema)
 
 
 def matrix_cells(df: DataFrame, row: str, columns: Sequence[str]) -> DataFrame:

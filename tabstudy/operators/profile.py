@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from tabstudy.functions.columns import outside, percent_of, round_half_even
 from tabstudy.functions.text import percent_text, thousands
 from tabstudy.operators.quantiles import EXACT_LIMIT, quantile_table
-from tabstudy.session import SMALL_ROWS, collect_bounded
+from tabstudy.session import SMALL_ROWS, collect_bounded, small_table
 
 QUARTILES = {"q1": 0.25, "q3": 0.75}
 
@@ -43,7 +43,7 @@ def value_shares(df: DataFrame, column: str, decimals: int | None = 2) -> DataFr
 
 def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, cardinality): exact, hot values collapse before the shuffle."""
-    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+    names = small_table(df.sparkSession, [(c,) for c in columns], "column string")
     counted = (
         long_categories(df, columns).distinct().groupBy("column").agg(F.count("value").alias("cardinality"))
     )
@@ -137,7 +137,7 @@ def iqr_report(df: DataFrame, columns: Sequence[str], exact_limit: int = EXACT_L
         cells.append(F.count_if(outside(b["column"], b["lower"], b["upper"])).alias(f"n{i}"))
     if not bounds:
         schema = "column string, q1 double, q3 double, lower double, upper double, outliers bigint, percent double"
-        return df.sparkSession.createDataFrame([], schema)
+        return small_table(df.sparkSession, [], schema)
     counted = df.agg(F.count(F.lit(1)).alias("rows"), *cells)
     entries = [
         F.struct(

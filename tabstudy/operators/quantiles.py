@@ -1,22 +1,24 @@
 """Exact linear-interpolated quantiles that never gather a column in one task.
 
 Up to ``exact_limit`` values per group the built-in ``percentile`` is used: it holds one
-map of distinct values per group. Above that the wanted ranks are narrowed down: each
-round sketches the values still inside a rank's bracket, picks the sub-bracket that must
-hold the rank and counts what lies below it. A round is one scan whose shuffle carries
-only sketches and shrinks the bracket a few hundred times, so 1e12 values need three
-rounds and a last pass over the few that are left.
+map of distinct values per group. Above that the wanted ranks are bracketed: one scan
+sketches every group, which bounds each rank to some ten-thousandths of its rows, a second
+counts what lies below and inside the brackets, and the last reads off the ranks among the
+values inside. Where a bracket still holds more than ``inside_limit`` rows (above some 1e9
+rows per group) or the counts show that the sketch missed, it is narrowed again, a few hundred
+times per round. All shuffles carry sketches, counts or the values of final brackets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabstudy.session import hold_small
 
-EXACT_LIMIT = 1_000_000
+EXACT_LIMIT = 50_000
+INSIDE_LIMIT = 1_000_000
 GRID = 500
 ACCURACY = 10_000
 MAX_ROUNDS = 40
@@ -36,12 +38,14 @@ def exact_quantiles(
     probs: Sequence[float],
     by: Sequence[str] = (),
     exact_limit: int = EXACT_LIMIT,
+    inside_limit: int = INSIDE_LIMIT,
 ) -> DataFrame:
     """Long result (by…, column, prob, value), one row per group, column and probability."""
     by = list(by)
     tall = long_numeric(df, columns, by)
     keys = [*by, "column"]
-    largest = tall.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    sizes = df.groupBy(*by).count().agg(F.max("count")) if by else df.agg(F.count(F.lit(1)))
+    largest = sizes.first()[0] or 0
     if largest <= exact_limit:
         values = F.percentile("value", [float(p) for p in probs])
         pairs = F.arrays_zip(F.array(*[F.lit(float(p)) for p in probs]).alias("prob"), F.col("q").alias("value"))
@@ -50,7 +54,7 @@ def exact_quantiles(
             .agg(values.alias("q"))
             .select(*keys, F.inline(pairs).alias("prob", "value"))
         )
-    return _narrowed(tall, keys, probs, exact_limit)
+    return _narrowed(tall, keys, probs, inside_limit)
 
 
 def _same_keys(keys: Sequence[str], left: str = "t", right: str = "s") -> Column:
@@ -61,27 +65,53 @@ def _same_keys(keys: Sequence[str], left: str = "t", right: str = "s") -> Column
     return match
 
 
-def _narrowed(tall: DataFrame, keys: list[str], probs: Sequence[float], exact_limit: int) -> DataFrame:
+def _narrowed(
+    tall: DataFrame, keys: list[str], probs: Sequence[float], inside_limit: int = INSIDE_LIMIT
+) -> DataFrame:
     state = hold_small(_ranks(tall, keys, probs))
+    largest = state.agg(F.max("old_inside")).first()[0] or 0
+    if largest * 4 / ACCURACY <= inside_limit:
+        # few rows inside by the sketch's bound: read the ranks off at once
+        found = hold_small(_pick(tall, keys, state))
+        if found.where(F.col("value").isNull()).isEmpty():
+            return found
+    state = hold_small(_count(tall, keys, state))
+    widest = state.agg(F.max("inside")).first()[0]
     for _ in range(MAX_ROUNDS):
-        widest = state.agg(F.max("inside")).first()[0]
-        if widest <= exact_limit:
+        if widest <= inside_limit:
             break
         before = widest
         state = hold_small(_shrink(tall, keys, state))
-        if state.agg(F.max("inside")).first()[0] >= before:
+        widest = state.agg(F.max("inside")).first()[0]
+        if widest >= before:  # one value fills the bracket: it is counted, not gathered
             break
     return _pick(tall, keys, state)
 
 
 def _ranks(tall: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
-    """One row per group and probability: wanted 0-based rank and an open bracket."""
-    wanted = F.explode(F.array(*[F.lit(float(p)) for p in probs]))
+    """One row per group and probability: wanted 0-based ranks and a bracket from one sketch."""
+    slack = 2 / ACCURACY
+    marks = [m for p in probs for m in (max(0.0, p - slack), min(1.0, p + slack))]
+    wanted = F.array(
+        *[
+            F.struct(
+                F.lit(float(p)).alias("prob"),
+                (F.col("lowest") if p <= slack else F.get("marks", F.lit(2 * i))).alias("lo"),
+                (F.col("highest") if p >= 1 - slack else F.get("marks", F.lit(2 * i + 1))).alias("hi"),
+            )
+            for i, p in enumerate(probs)
+        ]
+    )
     position = (F.col("n") - 1) * F.col("prob")
     return (
         tall.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
-        .select(*keys, "n", "lo", "hi", wanted.alias("prob"))
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min("value").alias("lowest"),
+            F.max("value").alias("highest"),
+            F.percentile_approx("value", marks, ACCURACY).alias("marks"),
+        )
+        .select(*keys, "n", "lowest", "highest", F.inline(wanted))
         .select(
             *keys,
             "prob",
@@ -90,36 +120,58 @@ def _ranks(tall: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFram
             F.floor(position).alias("rank"),
             F.ceil(position).alias("rank_up"),
             (position - F.floor(position)).alias("part"),
-            F.lit(0).cast("bigint").alias("below"),
-            F.col("n").alias("inside"),
+            F.col("lowest").alias("old_lo"),
+            F.col("highest").alias("old_hi"),
+            F.lit(0).cast("bigint").alias("old_below"),
+            F.col("n").alias("old_inside"),
         )
     )
 
 
+def _count(tall: DataFrame, keys: list[str], state: DataFrame) -> DataFrame:
+    """Count below and inside every bracket; one that misses its ranks is put back to the old one."""
+    ids = [*keys, "prob"]
+    counted = (
+        _inside(tall, keys, state)
+        .groupBy(*ids)
+        .agg(
+            F.count_if(F.col("value") < F.col("lo")).alias("below"),
+            F.count_if(F.col("value") >= F.col("lo")).alias("inside"),
+        )
+    )
+    holds = (F.col("below") <= F.col("rank")) & (F.col("rank_up") < F.col("below") + F.col("inside"))
+    keep = lambda c: F.when(holds, F.col(c)).otherwise(F.col(f"old_{c}")).alias(c)
+    rest = [c for c in state.columns if c not in ("lo", "hi") and not c.startswith("old_")]
+    both = _rejoined(counted, state, ids)
+    return both.select(*rest, *[keep(c) for c in ("lo", "hi", "below", "inside")])
+
+
+def _rejoined(counted: DataFrame, state: DataFrame, ids: list[str]) -> DataFrame:
+    """Aggregates per bracket together with the bracket's own columns."""
+    more = [F.col(f"t.{c}") for c in counted.columns if c not in ids]
+    return counted.alias("t").join(state.alias("s"), _same_keys(ids)).select("s.*", *more)
+
+
 def _inside(tall: DataFrame, keys: list[str], state: DataFrame) -> DataFrame:
-    """Rows joined to every bracket of their group, values above a bracket dropped."""
+    """(by…, column, prob, lo, value): rows met with every bracket of their group, up to its end."""
     return (
         tall.alias("t")
         .join(state.alias("s"), _same_keys(keys))
         .where(F.col("t.value") <= F.col("s.hi"))
-        .select(*[F.col(f"s.{c}") for c in state.columns], F.col("t.value").alias("value"))
+        .select(*[F.col(f"s.{c}").alias(c) for c in (*keys, "prob", "lo")], F.col("t.value").alias("value"))
     )
 
 
 def _shrink(tall: DataFrame, keys: list[str], state: DataFrame) -> DataFrame:
     """Replace each bracket by the part of it that must hold both neighbouring ranks."""
     grid = [i / GRID for i in range(GRID + 1)]
-    fields = [c for c in state.columns if c not in ("below", "inside")]
-    inside = F.col("value") >= F.col("lo")
-    sketched = (
+    inside = F.when(F.col("value") >= F.col("lo"), F.col("value"))
+    marks = (
         _inside(tall, keys, state)
-        .groupBy(*fields)
-        .agg(
-            F.count_if(~inside).alias("below"),
-            F.count_if(inside).alias("inside"),
-            F.percentile_approx(F.when(inside, F.col("value")), grid, ACCURACY).alias("marks"),
-        )
+        .groupBy(*keys, "prob")
+        .agg(F.percentile_approx(inside, grid, ACCURACY).alias("marks"))
     )
+    sketched = _rejoined(marks, state, [*keys, "prob"])
     # two marks of slack on either side cover the sketch error (GRID * 2 / ACCURACY < 1)
     share = lambda rank: (F.col(rank) - F.col("below")) / F.col("inside") * GRID
     first = F.greatest(F.floor(share("rank")) - 1, F.lit(1)).cast("int")
@@ -132,7 +184,7 @@ def _shrink(tall: DataFrame, keys: list[str], state: DataFrame) -> DataFrame:
             ),
         }
     ).select(
-        *[c for c in fields if c not in ("lo", "hi")],
+        *[c for c in state.columns if c not in ("lo", "hi", "below", "inside")],
         F.col("new_lo").alias("lo"),
         F.col("new_hi").alias("hi"),
         F.col("lo").alias("old_lo"),
@@ -140,47 +192,26 @@ def _shrink(tall: DataFrame, keys: list[str], state: DataFrame) -> DataFrame:
         F.col("below").alias("old_below"),
         F.col("inside").alias("old_inside"),
     )
-    narrower = hold_small(narrower)
-    counted = (
-        _inside(tall, keys, narrower)
-        .groupBy(*narrower.columns)
-        .agg(
-            F.count_if(F.col("value") < F.col("lo")).alias("below"),
-            F.count_if(F.col("value") >= F.col("lo")).alias("inside"),
-        )
-    )
-    # counts decide: a sub-bracket that misses its ranks is put back to the old one
-    holds = (F.col("below") <= F.col("rank")) & (F.col("rank_up") < F.col("below") + F.col("inside"))
-    keep = lambda new, old: F.when(holds, F.col(new)).otherwise(F.col(old)).alias(new)
-    rest = [c for c in fields if c not in ("lo", "hi")]
-    return counted.select(
-        *rest,
-        keep("lo", "old_lo"),
-        keep("hi", "old_hi"),
-        keep("below", "old_below"),
-        keep("inside", "old_inside"),
-    ).select(*state.columns)
+    return _count(tall, keys, hold_small(narrower))
 
 
 def _pick(tall: DataFrame, keys: list[str], state: DataFrame) -> DataFrame:
-    """Count equal values inside each bracket and read off the two wanted ranks."""
-    from pyspark.sql import Window
+    """Count equal values inside each bracket and read off the two wanted ranks.
 
+    All rows below a bracket fold into one. The value is null where a rank is not inside.
+    """
     ids = [*keys, "prob"]
-    fields = [c for c in state.columns if c != "inside"]
+    inside = F.when(F.col("value") >= F.col("lo"), F.col("value"))
     counted = (
-        _inside(tall, keys, state)
-        .where(F.col("value") >= F.col("lo"))
-        .groupBy(*fields, "value")
-        .agg(F.count(F.lit(1)).alias("n"))
+        _inside(tall, keys, state).groupBy(*ids, inside.alias("value")).agg(F.count(F.lit(1)).alias("n"))
     )
-    up_to = F.col("below") + F.sum("n").over(Window.partitionBy(*ids).orderBy("value"))
+    running = Window.partitionBy(*ids).orderBy(F.asc_nulls_first("value"))
+    ranked = _rejoined(counted.withColumn("up_to", F.sum("n").over(running)), state, ids)
     at = lambda rank: F.max(
         F.when((F.col("up_to") - F.col("n") <= F.col(rank)) & (F.col(rank) < F.col("up_to")), F.col("value"))
     )
     return (
-        counted.withColumn("up_to", up_to)
-        .groupBy(*ids, "part")
+        ranked.groupBy(*ids, "part")
         .agg(at("rank").alias("v0"), at("rank_up").alias("v1"))
         .select(*ids, ((1 - F.col("part")) * F.col("v0") + F.col("part") * F.col("v1")).alias("value"))
     )

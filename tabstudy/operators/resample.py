@@ -19,6 +19,7 @@ from tabstudy.operators.keyed import (
     rank_thresholds,
 )
 from tabstudy.operators.neighbours import nearest_neighbours
+from tabstudy.session import small_table
 
 HASH = "__row_key"
 
@@ -88,7 +89,7 @@ def random_undersample(
     schema = T.StructType(
         [T.StructField("__cls", train.schema[label].dataType), T.StructField("__cut", T.StringType())]
     )
-    table = train.sparkSession.createDataFrame([(c, t[0]) for c, t in cuts.items()], schema)
+    table = small_table(train.sparkSession, [(c, t[0]) for c, t in cuts.items()], schema)
     return (
         keyed.join(table, F.col(label) == F.col("__cls"))
         .where(F.col(HASH) < F.col("__cut"))

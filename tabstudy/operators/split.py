@@ -9,6 +9,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tabstudy.operators.keyed import class_sizes, hash_key, rank_thresholds
+from tabstudy.session import small_table
 
 HASH = "__split_key"
 
@@ -78,7 +79,7 @@ def assign_splits(
         [T.StructField("__cls", df.schema[stratify].dataType)]
         + [T.StructField(f"__t{i}", T.StringType()) for i in range(len(holdout))]
     )
-    table = df.sparkSession.createDataFrame([(c, *ts) for c, ts in cuts.items()], schema)
+    table = small_table(df.sparkSession, [(c, *ts) for c, ts in cuts.items()], schema)
     marks = [F.col(f"__t{i}") for i in range(len(holdout))]
     return keyed.join(table, F.col(stratify).eqNullSafe(F.col("__cls"))).select(
         *df.columns, _part(marks, names).alias(output)

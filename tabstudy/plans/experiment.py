@@ -19,6 +19,7 @@ from tabstudy.operators.metrics import (
     roc_auc,
 )
 from tabstudy.operators.order import best_row, sort_rows
+from tabstudy.session import hold_spread, small_table
 
 Sampler = Callable[[DataFrame], DataFrame]
 
@@ -33,9 +34,8 @@ class Fitted:
 
 def fit_all(models: Mapping[str, Estimator], train: DataFrame) -> dict[str, Fitted]:
     """Fit every named estimator on the same training rows, read into memory once."""
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    train = hold_spread(train)
     try:
-        train.count()
         fitted = {}
         for name, estimator in models.items():
             began = time.perf_counter()
@@ -63,7 +63,7 @@ def model_results(
     scored, columns = score_all(models, test)
     table = regression_metrics_wide(scored, label, columns)
     seconds = [(name, float(f.seconds)) for name, f in models.items()]
-    times = test.sparkSession.createDataFrame(seconds, "model string, fit_seconds double")
+    times = small_table(test.sparkSession, seconds, "model string, fit_seconds double")
     return table.join(times, "model")
 
 
@@ -119,12 +119,12 @@ def balancing(
     fit_seconds). Samplers only ever see ``train``; ``evaluation`` is scored as it is.
     """
     spark = train.sparkSession
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    train = hold_spread(train)
     evaluation = evaluation.persist(StorageLevel.MEMORY_AND_DISK)
     rows, fitted = [], {}
     try:
         for name, sampler in samplers.items():
-            sample = train if sampler is None else sampler(train).persist(StorageLevel.MEMORY_AND_DISK)
+            sample = train if sampler is None else hold_spread(sampler(train))
             n0, n1, n = sample.agg(
                 F.count_if(F.col(label) == 0), F.count_if(F.col(label) == 1), F.count(F.lit(1))
             ).first()
@@ -147,7 +147,7 @@ def balancing(
     names = list(rows[0])
     kinds = {"technique": "string", "iterations": "int", "n0": "bigint", "n1": "bigint", "train_rows": "bigint"}
     schema = ", ".join(f"{c} {kinds.get(c, 'double')}" for c in names)
-    return spark.createDataFrame([tuple(r[c] for c in names) for r in rows], schema), fitted
+    return small_table(spark, [tuple(r[c] for c in names) for r in rows], schema), fitted
 
 
 def positive_scores(model: Model, scored: DataFrame, output: str = "score") -> DataFrame:
@@ -184,14 +184,14 @@ def tuning(
         rows.append((name, model.epochs, last[1], last[2], last[3], model.fit_seconds))
         fitted[name] = model
     schema = "config string, epochs int, train_mse double, val_mse double, val_rmse double, seconds double"
-    return train.sparkSession.createDataFrame(rows, schema), fitted
+    return small_table(train.sparkSession, rows, schema), fitted
 
 
 def histories(models: Mapping[str, NeuralNetModel], spark: SparkSession) -> DataFrame:
     """Training curves of several networks in one table."""
     rows = [(name, *r[:4]) for name, m in models.items() for r in m.rows]
     schema = "series string, epoch int, train_loss double, val_loss double, val_rmse double"
-    return spark.createDataFrame(rows, schema)
+    return small_table(spark, rows, schema)
 
 
 def test_metrics(model: Model, test: DataFrame, label: str = "label") -> DataFrame:

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Rows of derived state (statistics, quotas, vocabularies) that may be held on
 # the driver. Anything that can exceed this is kept as a table.
@@ -49,6 +53,37 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def hold_spread(df: DataFrame, few: int = 10_000) -> DataFrame:
+    """Persist rows that will be read many times, on all cores.
+
+    Rows from one small file sit in one partition; they are dealt out once so that every
+    later pass runs in parallel. Data that already fills the cluster is not shuffled.
+    """
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    used, n = held.agg(F.count_distinct(F.spark_partition_id()), F.count(F.lit(1))).first()
+    if n < few or used >= cores:
+        return held
+    spread = held.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK)
+    spread.count()
+    held.unpersist()
+    return spread
+
+
+def small_table(spark: SparkSession, rows: Sequence, schema: T.StructType | str) -> DataFrame:
+    """Driver-held rows as a local relation.
+
+    Handing the rows over as an Arrow table keeps their exact size known to the optimizer, so
+    it is this side that gets broadcast in a join, and only while it is below the threshold.
+    """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    columns = [
+        pa.array([r[i] for r in rows], type=field.type) for i, field in enumerate(to_arrow_schema(schema))
+    ]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, names=schema.names), schema)
+
+
 def hold_small(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
     """Derived state, computed once.
 
@@ -58,7 +93,7 @@ def hold_small(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
     """
     rows = df.limit(limit + 1).collect()
     if len(rows) <= limit:
-        return df.sparkSession.createDataFrame(rows, df.schema)
+        return small_table(df.sparkSession, rows, df.schema)
     return cut_lineage(df)
 
 

@@ -62,14 +62,25 @@ def test_narrowed_quantiles_equal_numpy_with_a_hot_value_and_groups(spark):
     g = np.where(rng.random(30_000) < 0.6, "big", "small")
     df = spark.createDataFrame(pd.DataFrame({"x": x, "g": g})).repartition(5)
     probs = [0.0, 0.001, 0.25, 0.5, 0.75, 1.0]
-    for r in exact_quantiles(df, ["x"], probs, exact_limit=100).collect():
+    for r in exact_quantiles(df, ["x"], probs, exact_limit=100, inside_limit=3).collect():
         assert r["value"] == pytest.approx(np.quantile(x, r["prob"]), abs=1e-12)
-    found = exact_quantiles(df, ["x"], [0.1, 0.9], by=["g"], exact_limit=100).collect()
+    found = exact_quantiles(df, ["x"], [0.1, 0.9], by=["g"], exact_limit=100, inside_limit=2).collect()
     assert len(found) == 4
     for r in found:
         assert r["value"] == pytest.approx(np.quantile(x[g == r["g"]], r["prob"]), abs=1e-12)
 
 
+def test_a_sketch_that_misses_is_noticed(spark, monkeypatch):
+    """Counts decide, so even a useless sketch cannot change the result."""
+    from tabstudy.operators import quantiles as Q
+
+    monkeypatch.setattr(Q, "ACCURACY", 4)
+    x = np.random.default_rng(8).normal(size=20_000)
+    df = spark.createDataFrame(pd.DataFrame({"x": x})).repartition(4)
+    for r in exact_quantiles(df, ["x"], [0.3, 0.31], exact_limit=10, inside_limit=100).collect():
+        assert r["value"] == pytest.approx(np.quantile(x, r["prob"]), abs=1e-12)
+
+
 def test_describe_matches_pandas(spark):
     frame = pd.DataFrame({"a": [1.0, 2.0, 4.0, None, 9.5], "b": [3.0, 3.0, 3.0, 1.0, 2.0]})
     got = P.describe(spark.createDataFrame(frame.astype(object).where(frame.notna(), None), "a double, b double"), ["a", "b"])
