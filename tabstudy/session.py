@@ -61,7 +61,13 @@ def hold_spread(df: DataFrame, few: int = 10_000) -> DataFrame:
     """
     held = df.persist(StorageLevel.MEMORY_AND_DISK)
     cores = df.sparkSession.sparkContext.defaultParallelism
-    used, n = held.agg(F.count_distinct(F.spark_partition_id()), F.count(F.lit(1))).first()
+    used, n = (
+        held.select(F.spark_partition_id().alias("p"))
+        .groupBy("p")
+        .count()
+        .agg(F.count("p"), F.coalesce(F.sum("count"), F.lit(0)))
+        .first()
+    )
     if n < few or used >= cores:
         return held
     spread = held.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK)
