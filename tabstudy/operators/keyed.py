@@ -50,12 +50,17 @@ def number_copies(df: DataFrame, output: str = "copy_no") -> DataFrame:
     """
     columns = df.columns
     counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
-    chunks = counted.withColumn(
-        "__from", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__n"), F.lit(COPY_CHUNK).cast("bigint")))
+    one = F.lit(1).cast("bigint")
+    few = counted.where(F.col("__n") <= COPY_CHUNK).select(
+        *columns, F.explode(F.sequence(one, F.col("__n"))).alias(output)
     )
-    spread = chunks.repartition(F.xxhash64(*columns, "__from"))
+    starts = F.explode(F.sequence(one, F.col("__n"), F.lit(COPY_CHUNK).cast("bigint")))
+    chunks = counted.where(F.col("__n") > COPY_CHUNK).withColumn("__from", starts)
     last = F.least(F.col("__n"), F.col("__from") + (COPY_CHUNK - 1))
-    return spread.select(*columns, F.explode(F.sequence("__from", last)).alias(output))
+    many = chunks.repartition(F.xxhash64(*columns, "__from")).select(
+        *columns, F.explode(F.sequence("__from", last)).alias(output)
+    )
+    return few.unionByName(many)
 
 
 def class_sizes(df: DataFrame, by: str | None) -> dict:

@@ -8,7 +8,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from tabstudy.session import small_table
 
-SCORE_BUCKETS = 256
+BUCKET_ROWS = 1_000_000  # scores per running-sum bucket
+BUCKETS = (16, 10_000)
 
 
 def _hits(label: str, predicted: str, positive: object) -> tuple[Column, Column, Column, Column]:
@@ -119,8 +120,9 @@ def score_counts(df: DataFrame, label: str, score: str, positive: object = 1) ->
     s = F.col(score).cast("double")
     rows = df.select(s.alias("score"), (F.col(label) == F.lit(positive)).cast("int").alias("y"))
     rows = rows.where(F.col("score").isNotNull() & ~F.isnan("score") & F.col("y").isNotNull())
-    probs = [i / SCORE_BUCKETS for i in range(1, SCORE_BUCKETS)]
-    marks = rows.approxQuantile("score", probs, 0.5 / SCORE_BUCKETS)
+    n_buckets = min(max(rows.count() // BUCKET_ROWS, BUCKETS[0]), BUCKETS[1])
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    marks = rows.approxQuantile("score", probs, 0.5 / n_buckets)
     edges = [float("-inf"), *sorted(set(marks) or {0.0}), float("inf")]
     bucketed = Bucketizer(splits=edges, inputCol="score", outputCol="bucket").transform(rows)
     counted = bucketed.groupBy("bucket", "score").agg(

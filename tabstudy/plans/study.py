@@ -34,6 +34,9 @@ from tabstudy.sources.tables import (
 )
 
 
+MAX_CATEGORIES = 10_000
+
+
 @dataclass(frozen=True)
 class Roles:
     """Which column plays which part. Without a key, equal rows are numbered to get one."""
@@ -72,6 +75,13 @@ def keyed_rows(df: DataFrame, roles: Roles) -> tuple[DataFrame, list[str]]:
     return number_copies(df.select(*columns)), [*columns, "copy_no"]
 
 
+def check_categories(df: DataFrame, columns: Sequence[str], most: int = MAX_CATEGORIES) -> None:
+    """Refuse identifiers as categories: a vocabulary lives on the driver and in every model."""
+    found = P.approximate_distinct_counts(df, columns).where(F.col("cardinality") > most).collect()
+    if found:
+        raise ValueError(f"too many values for a category: {[r['column'] for r in found]}; drop them first")
+
+
 def profile_tables(df: DataFrame, roles: Roles) -> dict[str, DataFrame]:
     """Quality counts, shares, outliers, summary and correlation."""
     numbers = [*roles.numeric, roles.target]
@@ -110,6 +120,7 @@ def balancing_study(
 
     Techniques: none, oversample, undersample, bootstrap (weighted), smote.
     """
+    check_categories(df, roles.categorical)
     rows, key = keyed_rows(df, roles)
     rows = rows.withColumn("label", label_of(roles.label, roles.positive))
     parts = assign_splits(rows, key, holdout, names, stratify="label")
@@ -147,6 +158,7 @@ def target_study(
     Tables: ``meta`` (sizes), ``results`` (test), ``by_split`` (all parts), ``chosen`` (best on
     validation, reported on test); and the fitted models.
     """
+    check_categories(df, roles.categorical)
     rows, key = keyed_rows(df, roles)
     rows = rows.withColumn("label", F.col(roles.target).cast("double"))
     parts = assign_splits(rows, key, stratify=roles.label if stratify else None)

@@ -107,9 +107,10 @@ def test_duplicates_with_and_without_key(spark):
     assert P.duplicate_count(df, ["v"]).first()[0] == 2
 
 
-def test_density_matches_brute_force(spark):
+@pytest.mark.parametrize("decimals", [1, 12])
+def test_density_matches_brute_force(spark, decimals):
     rng = np.random.default_rng(2)
-    x = np.round(rng.gamma(2.0, 3.0, 4000), 2)
+    x = np.round(rng.gamma(2.0, 3.0, 4000), decimals)
     curve = V.density_curve(spark.createDataFrame(pd.DataFrame({"x": x})), "x", 200, bins=30).toPandas()
     h = x.std(ddof=1) * len(x) ** -0.2
     grid = np.linspace(x.min(), x.max(), 200)

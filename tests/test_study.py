@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tabstudy.models.linear import Ridge
@@ -80,3 +81,9 @@ def test_profile_tables(small_fares):
     assert tables["duplicates"].first()[0] == 0
     assert all(t.count() > 0 for t in tables.values())
     assert json.dumps([r.asDict() for r in tables["outliers"].collect()])
+
+
+def test_an_identifier_is_no_category(small_fares):
+    roles = study.Roles(("duration",), ("_c0",), "price", "class", "Business")
+    with pytest.raises(ValueError, match="_c0"):
+        study.check_categories(small_fares, roles.categorical, most=1000)
