@@ -210,3 +210,15 @@ def test_tuning_trains_every_configuration(prepared):
     rows = {r["config"]: r for r in table.collect()}
     assert rows["a"]["val_mse"] != rows["b"]["val_mse"] and rows["a"]["seconds"] != rows["b"]["seconds"]
     assert E.histories(fitted, parts["train"].sparkSession).count() == 4
+
+
+def test_the_restored_state_is_the_best_one_measured(prepared):
+    parts, _ = prepared
+    train = parts["train"].withColumn("label", (F.col("label") - 20000) / 20000)
+    net = NeuralNet(hidden=(8,), lr=0.2, epochs=12, early_stopping=True, patience=3, key=["_c0"], shards=1)
+    model = net.fit(train)
+    hold = assign_splits(train, ["_c0"], [0.1], ["fit", "hold"], None, "hold42").where("split = 'hold'")
+    mse = regression_metrics(model.transform(hold), "label", "prediction").first()["mse"]
+    losses = [r[2] for r in model.rows]
+    assert mse == pytest.approx(min(losses), rel=1e-3)
+    assert losses[-1] > min(losses)
