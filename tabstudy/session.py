@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -33,13 +34,19 @@ def build_session(app: str = "tabstudy", master: str | None = None, **conf: str)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach; a private one only where none is named."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder every executor can reach: ``spark.checkpoint.dir``.
+
+    Only a session whose executors are threads of the driver may do without that setting; it then uses a private folder.
+    """
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(named)
         return named
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tabstudy-"))
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="tabstudy-"))
     return context.getCheckpointDir()
 
 
