@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tabstudy.llm import lines, mixing
+from tabstudy.llm import lines, mixing, warc
 
 LINES = f"""
 WITH split AS (
@@ -70,4 +70,13 @@ FROM described d JOIN odds o ON d.source IS NOT DISTINCT FROM o.source
     )
 
 
-ORACLES: dict[str, str] = {"op4_mixing": mixing_sql(), "op10_lines": LINES}
+ARCHIVE = f"""
+WITH sized AS (SELECT page_id, coalesce(html, '') AS body, strlen(coalesce(html, '')) AS n FROM pages),
+last AS (SELECT *, max(page_id) OVER (PARTITION BY body) AS last_id FROM sized)
+SELECT page_id, n::BIGINT AS payload_bytes, sha1(body) AS payload_digest,
+       CASE WHEN n >= {warc.LEAST_REVISIT} AND page_id < last_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= {warc.LEAST_REVISIT} AND page_id < last_id THEN last_id END AS refers_to
+FROM last
+"""
+
+ORACLES: dict[str, str] = {"op1_warc": ARCHIVE, "op4_mixing": mixing_sql(), "op10_lines": LINES}

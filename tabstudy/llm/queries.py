@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tabstudy.llm import bpe, lines, mixing, neardup, quality
+from tabstudy.llm import bpe, hashforest, htmltext, lines, mixing, neardup, ordermin, quality, warc
+from tabstudy.session import cut_lineage, scratch_path
 
 RANKS_FILE = "byte_bpe_50k.tiktoken"
 
@@ -16,6 +17,36 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page written to packages as a WARC record, and read back by ranges."""
+    pages = table(spark, folder, "pages")
+    payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
+    planned = warc.plan_revisits(pages.select("page_id", "url", payload.alias("payload")), "page_id")
+    name = lambda c: F.concat(F.lit("urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("none")))
+    records = planned.select(
+        name("page_id").alias("record_id"),
+        F.col("url").alias("uri"),
+        "record_type",
+        F.when(F.col("record_type") == "revisit", name("refers_key")).alias("refers_to"),
+        "payload_digest",
+        "payload_bytes",
+        "payload",
+    )
+    store = scratch_path(spark, "warc")
+    packages = cut_lineage(warc.write_packages(records, store))
+    locations = warc.list_records(packages.repartition("path"), store)
+    number = lambda c: F.regexp_extract(c, r"^urn:page:(-?\d+)$", 1)
+    to_long = lambda c: F.when(number(c) != "", number(c).cast("bigint"))
+    own = F.col("record_type") == "response"
+    return warc.read_records(locations, store).select(
+        to_long("record_id").alias("page_id"),
+        F.when(own, F.octet_length("payload")).otherwise(F.col("declared_bytes")).cast("bigint").alias("payload_bytes"),
+        F.when(own, F.sha1("payload")).otherwise(F.col("declared_digest")).alias("payload_digest"),
+        "record_type",
+        to_long("refers_to").alias("refers_to"),
+    )
+
+
 def op2_dartminhash(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate class of every document."""
     return neardup.near_duplicate_classes(table(spark, folder, "documents"))
@@ -34,6 +65,20 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_html(spark: SparkSession, folder: str) -> DataFrame:
+    return htmltext.extract_text(table(spark, folder, "pages")).select(
+        "page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars")
+    )
+
+
+def op6_forest(spark: SparkSession, folder: str) -> DataFrame:
+    return hashforest.nearest_vectors(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op7_ordermin(spark: SparkSession, folder: str) -> DataFrame:
+    return ordermin.compare_successors(table(spark, folder, "documents"))
+
+
 def op8_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode_documents(
         table(spark, folder, "documents"),
@@ -61,8 +106,12 @@ def op10_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
     "op2_dartminhash": op2_dartminhash,
     "op4_mixing": op4_mixing,
+    "op5_html": op5_html,
+    "op6_forest": op6_forest,
+    "op7_ordermin": op7_ordermin,
     "op8_bpe": op8_bpe,
     "op9_quality": op9_quality,
     "op10_lines": op10_lines,
