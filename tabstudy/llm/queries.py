@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tabstudy.llm import bpe, hashforest, htmltext, lines, mixing, neardup, ordermin, quality, warc
+from tabstudy.llm import bpe, hashforest, htmltext, lines, mixing, neardup, ordermin, quality, suffixlevels, warc
 from tabstudy.session import cut_lineage, scratch_path
 
 RANKS_FILE = "byte_bpe_50k.tiktoken"
@@ -52,6 +52,12 @@ def op2_dartminhash(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicate_classes(table(spark, folder, "documents"))
 
 
+def op3_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixlevels.remove_repeats(table(spark, folder, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Raked probability and draw of every document."""
     return mixing.mix_sources(table(spark, folder, "documents")).select(
@@ -108,6 +114,7 @@ def op10_lines(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_dartminhash": op2_dartminhash,
+    "op3_suffixes": op3_suffixes,
     "op4_mixing": op4_mixing,
     "op5_html": op5_html,
     "op6_forest": op6_forest,
