@@ -2,23 +2,27 @@
 
 from __future__ import annotations
 
-from string import ascii_lowercase, ascii_uppercase
+import hashlib
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
 
 BLANKS = " \t\n\x0b\x0c\r"
 MIN_CHARS = 40
 MIN_DOCUMENTS = 5
 
 
-def line_key(line: Column) -> Column:
-    """The line without ASCII white space at its ends, with A-Z lower-cased."""
-    return F.translate(F.btrim(line, F.lit(BLANKS)), ascii_uppercase, ascii_lowercase)
+def line_hash(line: str, min_chars: int = MIN_CHARS) -> bytes | None:
+    """128 bits of the line's key, or None if the key is shorter than ``min_chars`` code points.
 
-
-def key_hash(key: Column) -> Column:
-    """128 bits of the key; two different keys meet with probability below n²/2¹²⁸."""
-    return F.unhex(F.md5(key))
+    The key is the line without ASCII white space at its ends, with A-Z lower-cased (``bytes.lower`` touches ASCII
+    alone). Two different keys among n meet with a probability below n²/2¹²⁸.
+    """
+    key = line.strip(BLANKS)
+    if len(key) < min_chars:
+        return None
+    return hashlib.blake2b(key.encode().lower(), digest_size=16).digest()
 
 
 def dedup_lines(
@@ -42,40 +46,65 @@ def dedup_lines(
 
     Defined cases: a null text is one empty line and becomes the empty text; an empty table
     gives an empty table; rows that repeat an id count as one document and are cut alike; rows without
-    an id count towards no key and lose the lines that others share; extra columns pass through.
+    an id count towards no key and lose the lines that others share; extra columns pass through, but for
+    the two counts, which are replaced.
     """
+    documents = documents.drop("n_lines", "n_dropped")
     own = documents.columns
-    lines, dropped = "__lines", "__dropped"
-    split = documents.withColumn(
-        lines, F.split(F.coalesce(F.col(text_column), F.lit("")), "\n", -1)
-    )
-    wanted = lambda line: F.char_length(line_key(line)) >= min_chars
-    hashes = F.array_distinct(
-        F.transform(F.filter(F.col(lines), wanted), lambda line: key_hash(line_key(line)))
-    )
-    pairs = split.select(F.col(id_column).alias("__id"), F.explode(hashes).alias("__hash")).distinct()
+    id_type = documents.schema[id_column].dataType.simpleString()
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for begin in range(0, whole.num_rows, 1000):
+                batch = whole.slice(begin, 1000)
+                found, rows = [], []
+                for i, text in enumerate(batch.column(1)):
+                    own_hashes = {line_hash(line, min_chars) for line in (text.as_py() or "").split("\n")}
+                    own_hashes.discard(None)
+                    found.extend(own_hashes)
+                    rows.extend([i] * len(own_hashes))
+                ids = batch.column(0).take(pa.array(rows, pa.int64()))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(found, pa.binary())], names=["id", "hash"])
+
+    pairs = documents.select(id_column, text_column).mapInArrow(hashed, f"id {id_type}, hash binary").distinct()
     shared = (
-        pairs.where(F.col("__id").isNotNull())
-        .groupBy("__hash")
-        .agg(F.count(F.lit(1)).alias("__n"), F.max("__id").alias("__last"))
-        .where(F.col("__n") >= min_documents)
-        .drop("__n")
+        pairs.where(F.col("id").isNotNull())
+        .groupBy("hash")
+        .agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("last"))
+        .where(F.col("n") >= min_documents)
+        .select("hash", "last")
     )
     drops = (
-        pairs.join(shared, "__hash")
-        .where(~F.col("__id").eqNullSafe(F.col("__last")))
-        .groupBy("__id")
-        .agg(F.collect_list("__hash").alias(dropped))
-    )
-    met = split.join(drops, split[id_column].eqNullSafe(drops["__id"]), "left")
-    stays = lambda line: ~(wanted(line) & F.array_contains(F.col(dropped), key_hash(line_key(line))))
-    kept = F.when(F.col(dropped).isNull(), F.col(lines)).otherwise(F.filter(F.col(lines), stays))
-    return met.select(
-        *[F.col(c) for c in own if c != text_column],
-        kept.alias("__kept"),
-        F.size(lines).cast("bigint").alias("n_lines"),
-    ).select(
-        *[F.array_join("__kept", "\n").alias(c) if c == text_column else F.col(c) for c in own],
-        F.col("n_lines"),
-        (F.col("n_lines") - F.size("__kept")).alias("n_dropped"),
+        pairs.join(shared, "hash")
+        .where(~F.col("id").eqNullSafe(F.col("last")))
+        .groupBy(F.col("id").alias("__id"))
+        .agg(F.collect_list("hash").alias("__dropped"))
     )
+    met = documents.join(drops, documents[id_column].eqNullSafe(drops["__id"]), "left").drop("__id")
+    place = own.index(text_column)
+    schema = documents.select(
+        *[F.col(c).cast("string") if c == text_column else F.col(c) for c in own],
+        F.lit(0).cast("bigint").alias("n_lines"),
+        F.lit(0).cast("bigint").alias("n_dropped"),
+    ).schema
+
+    def rebuilt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for begin in range(0, whole.num_rows, 1000):
+                batch = whole.slice(begin, 1000)
+                texts, before, dropped = [], [], []
+                for text, gone in zip(batch.column(place), batch.column(len(own)), strict=True):
+                    lines = (text.as_py() or "").split("\n")
+                    kept = lines
+                    if gone.is_valid:
+                        hashes = set(gone.as_py())
+                        kept = [line for line in lines if line_hash(line, min_chars) not in hashes]
+                    texts.append("\n".join(kept))
+                    before.append(len(lines))
+                    dropped.append(len(lines) - len(kept))
+                columns = batch.columns[: len(own)]
+                columns[place] = pa.array(texts, pa.string())
+                columns += [pa.array(before, pa.int64()), pa.array(dropped, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return met.mapInArrow(rebuilt, schema)
