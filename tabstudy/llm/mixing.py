@@ -101,12 +101,14 @@ def mix_sources(
     is a join on statistics that Spark broadcasts below its threshold and splits above it.
 
     Defined cases: null margins are a value of their own; documents without tokens have a ratio of
-    0/0 and are kept with probability 1; an empty table gives an empty table; repeated keys share their draw.
+    0/0 and are kept with probability 1; an empty table gives an empty table; repeated keys share their draw;
+    extra columns pass through, those named like an output are replaced.
     """
     if margins is None:
         margins = {"source": F.col("source"), "lang": F.col("lang"), "topic": text_topic(F.col("text"))}
-    own = documents.columns
     names = [f"mix_{m}" for m in margins]
+    documents = documents.drop(*names, "mix_tokens", "mix_probability", "mix_kept")
+    own = documents.columns
     counted = token_count(F.col("text")) if tokens is None else tokens
     described = documents.select(
         "*", *[c.alias(n) for n, c in zip(names, margins.values(), strict=True)], counted.alias("mix_tokens")

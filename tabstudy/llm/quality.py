@@ -211,9 +211,14 @@ def fit_quality(
     known = known.groupBy("__id").agg(F.max("label").alias("label"))
     known = known.withColumn("place", F.md5(F.col("__id").cast("string"))).orderBy("place").limit(train_rows)
     # the broadcast side is bounded by train_rows; a repeated id counts once, by its smallest text
-    row = F.struct(F.col(text_column).alias("text"), F.col(chars_column).cast("double").alias("chars"), "label")
+    given = documents.select(
+        F.col(id_column).alias("__doc"),
+        F.col(text_column).alias("text"),
+        F.col(chars_column).cast("double").alias("chars"),
+    )
+    row = F.struct("text", "chars", "label")
     chosen = (
-        documents.join(F.broadcast(known), documents[id_column] == known["__id"])
+        given.join(F.broadcast(known), F.col("__doc") == F.col("__id"))
         .groupBy("place")
         .agg(F.min(row).alias("row"))
         .select("place", "row.text", "row.chars", "row.label")
