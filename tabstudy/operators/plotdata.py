@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from tabstudy.functions.columns import percent_of, within_axes
 from tabstudy.operators.keyed import hash_key, lowest_rows
 from tabstudy.operators.profile import value_counts
-from tabstudy.operators.quantiles import EXACT_LIMIT, quantile_table
+from tabstudy.operators.quantiles import quantile_table
 from tabstudy.session import SMALL_ROWS, collect_bounded, hold_small, small_table
 
 # A Gaussian this many bandwidths away adds less than 1e-17 of its peak.
@@ -87,9 +87,9 @@ def density_curve(df: DataFrame, column: str, points: int = 200, bins: int | Non
     return curve.orderBy("point")
 
 
-def box_stats(df: DataFrame, group: str, value: str, exact_limit: int = EXACT_LIMIT) -> DataFrame:
+def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
     """(group, q1, median, q3, whisker_low, whisker_high, fliers) per group."""
-    boxes = _boxes(df, group, value, exact_limit)
+    boxes = _boxes(df, group, value)
     low, high = F.col("q1") - 1.5 * F.col("iqr"), F.col("q3") + 1.5 * F.col("iqr")
     v = F.col("v")
     return (
@@ -104,19 +104,19 @@ def box_stats(df: DataFrame, group: str, value: str, exact_limit: int = EXACT_LI
     )
 
 
-def box_fliers(df: DataFrame, group: str, value: str, exact_limit: int = EXACT_LIMIT) -> DataFrame:
+def box_fliers(df: DataFrame, group: str, value: str) -> DataFrame:
     """(group, value) of the points drawn one by one beyond the whiskers."""
-    boxes = _boxes(df, group, value, exact_limit)
+    boxes = _boxes(df, group, value)
     low, high = F.col("q1") - 1.5 * F.col("iqr"), F.col("q3") + 1.5 * F.col("iqr")
     beyond = (F.col("v") < low) | (F.col("v") > high)
     rows = _boxed(df, group, value, boxes).where(beyond)
     return rows.select(F.col("g").alias(group), F.col("v").alias(value))
 
 
-def _boxes(df: DataFrame, group: str, value: str, exact_limit: int) -> DataFrame:
+def _boxes(df: DataFrame, group: str, value: str) -> DataFrame:
     rows = df.where(F.col(group).isNotNull())
     named = {"q1": 0.25, "median": 0.5, "q3": 0.75}
-    table = quantile_table(rows, [value], named, by=[group], exact_limit=exact_limit)
+    table = quantile_table(rows, [value], named, by=[group])
     table = table.select(F.col(group).alias("g"), "q1", "median", "q3", (F.col("q3") - F.col("q1")).alias("iqr"))
     return hold_small(table)
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tabstudy.functions.columns import outside, percent_of, round_half_even
 from tabstudy.functions.text import percent_text, thousands
-from tabstudy.operators.quantiles import EXACT_LIMIT, quantile_table
+from tabstudy.operators.quantiles import quantile_table
 from tabstudy.session import SMALL_ROWS, collect_bounded, small_table
 
 QUARTILES = {"q1": 0.25, "q3": 0.75}
@@ -124,11 +124,11 @@ def duplicate_count(df: DataFrame, subset: Sequence[str] | None = None) -> DataF
     return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicates"))
 
 
-def iqr_report(df: DataFrame, columns: Sequence[str], exact_limit: int = EXACT_LIMIT) -> DataFrame:
+def iqr_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, q1, q3, lower, upper, outliers, percent) by the 1.5 IQR rule."""
     spread = F.col("q3") - F.col("q1")
     bounds = (
-        quantile_table(df, columns, QUARTILES, exact_limit=exact_limit)
+        quantile_table(df, columns, QUARTILES)
         .withColumns({"lower": F.col("q1") - 1.5 * spread, "upper": F.col("q3") + 1.5 * spread})
         .collect()  # one row per column
     )
@@ -152,11 +152,11 @@ def iqr_report(df: DataFrame, columns: Sequence[str], exact_limit: int = EXACT_L
 
 
 def describe(
-    df: DataFrame, columns: Sequence[str], decimals: int = 2, exact_limit: int = EXACT_LIMIT
+    df: DataFrame, columns: Sequence[str], decimals: int = 2
 ) -> DataFrame:
     """(statistic, one column per input): count, mean, std, min, quartiles, max, all exact."""
     quartiles = quantile_table(
-        df, columns, {"25%": 0.25, "50%": 0.5, "75%": 0.75}, exact_limit=exact_limit
+        df, columns, {"25%": 0.25, "50%": 0.5, "75%": 0.75}
     ).collect()  # one row per column
     known = {r["column"]: r for r in quartiles}
     clean = df.select(*[F.col(c).cast("double").alias(c) for c in columns])

@@ -1,12 +1,9 @@
 """Exact linear-interpolated quantiles that never gather a column in one task.
 
-Up to ``exact_limit`` values per group the built-in ``percentile`` is used: it holds one
-map of distinct values per group. Above that the wanted ranks are bracketed: one scan
-sketches every group, which bounds each rank to some ten-thousandths of its rows, a second
-counts what lies below and inside the brackets, and the last reads off the ranks among the
-values inside. Where a bracket still holds more than ``inside_limit`` rows (above some 1e9
-rows per group) or the counts show that the sketch missed, it is narrowed again, a few hundred
-times per round. All shuffles carry sketches, counts or the values of final brackets.
+Every wanted rank has a bracket of values, at first from the minimum to the maximum. One scan counts all brackets'
+values in equal bins; the bin that holds the rank is the next bracket. A bracket is exact at all times, as what lies
+below it has been counted, and at most 1/``BINS`` as wide after each scan, so the search ends with a single value. Two
+or three scans do for most data. All shuffles carry counts per bin, combined map-side.
 """
 
 from __future__ import annotations
@@ -17,11 +14,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabstudy.session import hold_small
 
-EXACT_LIMIT = 50_000
-INSIDE_LIMIT = 1_000_000
-GRID = 500
+BINS = 4096
 ACCURACY = 10_000
-MAX_ROUNDS = 40
 
 
 def long_numeric(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -37,24 +31,19 @@ def exact_quantiles(
     columns: Sequence[str],
     probs: Sequence[float],
     by: Sequence[str] = (),
-    exact_limit: int = EXACT_LIMIT,
-    inside_limit: int = INSIDE_LIMIT,
+    bins: int = BINS,
 ) -> DataFrame:
     """Long result (by…, column, prob, value), one row per group, column and probability."""
     by = list(by)
     tall = long_numeric(df, columns, by)
     keys = [*by, "column"]
-    sizes = df.groupBy(*by).count().agg(F.max("count")) if by else df.agg(F.count(F.lit(1)))
-    largest = sizes.first()[0] or 0
-    if largest <= exact_limit:
-        values = F.percentile("value", [float(p) for p in probs])
-        pairs = F.arrays_zip(F.array(*[F.lit(float(p)) for p in probs]).alias("prob"), F.col("q").alias("value"))
-        return (
-            tall.groupBy(*keys)
-            .agg(values.alias("q"))
-            .select(*keys, F.inline(pairs).alias("prob", "value"))
-        )
-    return _narrowed(tall, keys, probs, inside_limit)
+    ids = [*keys, "prob", "up"]
+    state = hold_small(_targets(tall, keys, probs))
+    while not state.where("lo < hi").isEmpty():
+        state = hold_small(_narrower(tall, keys, ids, state, bins))
+    low, high = (F.max(F.when(F.col("up") == i, F.col("lo"))) for i in (0, 1))
+    part = F.first("part")
+    return state.groupBy(*keys, "prob").agg(((1 - part) * low + part * high).alias("value"))
 
 
 def _same_keys(keys: Sequence[str], left: str = "t", right: str = "s") -> Column:
@@ -65,156 +54,62 @@ def _same_keys(keys: Sequence[str], left: str = "t", right: str = "s") -> Column
     return match
 
 
-def _narrowed(
-    tall: DataFrame, keys: list[str], probs: Sequence[float], inside_limit: int = INSIDE_LIMIT
-) -> DataFrame:
-    state = hold_small(_ranks(tall, keys, probs))
-    largest = state.agg(F.max("old_inside")).first()[0] or 0
-    if largest * 4 / ACCURACY <= inside_limit:
-        # few rows inside by the sketch's bound: read the ranks off at once
-        found = hold_small(_pick(tall, keys, state))
-        if found.where(F.col("value").isNull()).isEmpty():
-            return found
-    state = hold_small(_count(tall, keys, state))
-    widest = state.agg(F.max("inside")).first()[0]
-    for _ in range(MAX_ROUNDS):
-        if widest <= inside_limit:
-            break
-        before = widest
-        state = hold_small(_shrink(tall, keys, state))
-        widest = state.agg(F.max("inside")).first()[0]
-        if widest >= before:  # one value fills the bracket: it is counted, not gathered
-            break
-    return _pick(tall, keys, state)
-
-
-def _ranks(tall: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
-    """One row per group and probability: wanted 0-based ranks and a bracket from one sketch."""
-    slack = 2 / ACCURACY
-    marks = [m for p in probs for m in (max(0.0, p - slack), min(1.0, p + slack))]
+def _targets(tall: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
+    """The two wanted ranks of every group and probability, and the bracket of all values."""
+    position = (F.col("n") - 1) * F.col("prob")
     wanted = F.array(
-        *[
-            F.struct(
-                F.lit(float(p)).alias("prob"),
-                (F.col("lowest") if p <= slack else F.get("marks", F.lit(2 * i))).alias("lo"),
-                (F.col("highest") if p >= 1 - slack else F.get("marks", F.lit(2 * i + 1))).alias("hi"),
-            )
-            for i, p in enumerate(probs)
-        ]
+        *[F.struct(F.lit(float(p)).alias("prob"), F.lit(up).alias("up")) for p in probs for up in (0, 1)]
     )
-    position = (F.col("n") - 1) * F.col("prob")
     return (
         tall.groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min("value").alias("lowest"),
-            F.max("value").alias("highest"),
-            F.percentile_approx("value", marks, ACCURACY).alias("marks"),
-        )
-        .select(*keys, "n", "lowest", "highest", F.inline(wanted))
+        .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+        .select(*keys, "n", "lo", "hi", F.inline(wanted))
         .select(
             *keys,
             "prob",
+            "up",
+            (position - F.floor(position)).alias("part"),
+            F.when(F.col("up") == 0, F.floor(position)).otherwise(F.ceil(position)).alias("rank"),
+            F.lit(0).cast("bigint").alias("below"),
             "lo",
             "hi",
-            F.floor(position).alias("rank"),
-            F.ceil(position).alias("rank_up"),
-            (position - F.floor(position)).alias("part"),
-            F.col("lowest").alias("old_lo"),
-            F.col("highest").alias("old_hi"),
-            F.lit(0).cast("bigint").alias("old_below"),
-            F.col("n").alias("old_inside"),
         )
     )
 
 
-def _count(tall: DataFrame, keys: list[str], state: DataFrame) -> DataFrame:
-    """Count below and inside every bracket; one that misses its ranks is put back to the old one."""
-    ids = [*keys, "prob"]
-    counted = (
-        _inside(tall, keys, state)
-        .groupBy(*ids)
-        .agg(
-            F.count_if(F.col("value") < F.col("lo")).alias("below"),
-            F.count_if(F.col("value") >= F.col("lo")).alias("inside"),
-        )
-    )
-    holds = (F.col("below") <= F.col("rank")) & (F.col("rank_up") < F.col("below") + F.col("inside"))
-    keep = lambda c: F.when(holds, F.col(c)).otherwise(F.col(f"old_{c}")).alias(c)
-    rest = [c for c in state.columns if c not in ("lo", "hi") and not c.startswith("old_")]
-    both = _rejoined(counted, state, ids)
-    return both.select(*rest, *[keep(c) for c in ("lo", "hi", "below", "inside")])
-
-
-def _rejoined(counted: DataFrame, state: DataFrame, ids: list[str]) -> DataFrame:
-    """Aggregates per bracket together with the bracket's own columns."""
-    more = [F.col(f"t.{c}") for c in counted.columns if c not in ids]
-    return counted.alias("t").join(state.alias("s"), _same_keys(ids)).select("s.*", *more)
-
-
-def _inside(tall: DataFrame, keys: list[str], state: DataFrame) -> DataFrame:
-    """(by…, column, prob, lo, value): rows met with every bracket of their group, up to its end."""
-    return (
-        tall.alias("t")
-        .join(state.alias("s"), _same_keys(keys))
-        .where(F.col("t.value") <= F.col("s.hi"))
-        .select(*[F.col(f"s.{c}").alias(c) for c in (*keys, "prob", "lo")], F.col("t.value").alias("value"))
-    )
-
-
-def _shrink(tall: DataFrame, keys: list[str], state: DataFrame) -> DataFrame:
-    """Replace each bracket by the part of it that must hold both neighbouring ranks."""
-    grid = [i / GRID for i in range(GRID + 1)]
-    inside = F.when(F.col("value") >= F.col("lo"), F.col("value"))
-    marks = (
-        _inside(tall, keys, state)
-        .groupBy(*keys, "prob")
-        .agg(F.percentile_approx(inside, grid, ACCURACY).alias("marks"))
-    )
-    sketched = _rejoined(marks, state, [*keys, "prob"])
-    # two marks of slack on either side cover the sketch error (GRID * 2 / ACCURACY < 1)
-    share = lambda rank: (F.col(rank) - F.col("below")) / F.col("inside") * GRID
-    first = F.greatest(F.floor(share("rank")) - 1, F.lit(1)).cast("int")
-    last = F.least(F.ceil(share("rank_up")) + 3, F.lit(GRID + 1)).cast("int")
-    narrower = sketched.withColumns(
-        {
-            "new_lo": F.when(F.floor(share("rank")) <= 1, F.col("lo")).otherwise(F.get("marks", first - 1)),
-            "new_hi": F.when(F.ceil(share("rank_up")) + 3 > GRID, F.col("hi")).otherwise(
-                F.get("marks", last - 1)
-            ),
-        }
-    ).select(
-        *[c for c in state.columns if c not in ("lo", "hi", "below", "inside")],
-        F.col("new_lo").alias("lo"),
-        F.col("new_hi").alias("hi"),
-        F.col("lo").alias("old_lo"),
-        F.col("hi").alias("old_hi"),
-        F.col("below").alias("old_below"),
-        F.col("inside").alias("old_inside"),
-    )
-    return _count(tall, keys, hold_small(narrower))
+def _log_scale(value: Column) -> Column:
+    """Increasing in ``value``; equal steps are equal factors, with 0 between the signs."""
+    return F.when(value == 0, 0.0).otherwise(F.signum(value) * (F.ln(F.abs(value)) + 750))
 
 
-def _pick(tall: DataFrame, keys: list[str], state: DataFrame) -> DataFrame:
-    """Count equal values inside each bracket and read off the two wanted ranks.
+def _narrower(tall: DataFrame, keys: list[str], ids: list[str], state: DataFrame, bins: int) -> DataFrame:
+    """One scan: count every open bracket's values in equal bins and keep the bin that holds the rank.
 
-    All rows below a bracket fold into one. The value is null where a rank is not inside.
+    The new bracket runs from the smallest to the largest value met in that bin, so it is at most 1/bins as wide,
+    and the values below it have been counted. Brackets that span more than a factor of 16 are cut on a logarithmic
+    scale, so that a value among very unlike ones is found as fast.
     """
-    ids = [*keys, "prob"]
-    inside = F.when(F.col("value") >= F.col("lo"), F.col("value"))
-    counted = (
-        _inside(tall, keys, state).groupBy(*ids, inside.alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    )
-    running = Window.partitionBy(*ids).orderBy(F.asc_nulls_first("value"))
-    ranked = _rejoined(counted.withColumn("up_to", F.sum("n").over(running)), state, ids)
-    at = lambda rank: F.max(
-        F.when((F.col("up_to") - F.col("n") <= F.col(rank)) & (F.col(rank) < F.col("up_to")), F.col("value"))
+    value, lo, hi = F.col("t.value"), F.col("s.lo"), F.col("s.hi")
+    narrow = (F.signum(lo) == F.signum(hi)) & (F.greatest(F.abs(lo), F.abs(hi)) / 16 <= F.least(F.abs(lo), F.abs(hi)))
+    share = F.when(narrow, (value - lo) / (hi - lo)).otherwise(
+        (_log_scale(value) - _log_scale(lo)) / F.greatest(_log_scale(hi) - _log_scale(lo), F.lit(1e-300))
     )
-    return (
-        ranked.groupBy(*ids, "part")
-        .agg(at("rank").alias("v0"), at("rank_up").alias("v1"))
-        .select(*ids, ((1 - F.col("part")) * F.col("v0") + F.col("part") * F.col("v1")).alias("value"))
+    middle = F.least(F.floor(share * bins), F.lit(bins - 1)).cast("int")
+    place = F.when(value <= lo, F.lit(-1)).when(value >= hi, F.lit(bins)).otherwise(middle)
+    counted = (
+        tall.alias("t")
+        .join(state.where("lo < hi").alias("s"), _same_keys(keys))
+        .where(F.col("t.value").between(F.col("s.lo"), F.col("s.hi")))
+        .groupBy(*[F.col(f"s.{c}").alias(c) for c in (*ids, "part", "rank", "below")], place.alias("bin"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min("t.value").alias("lo"), F.max("t.value").alias("hi"))
     )
+    running = Window.partitionBy(*ids).orderBy("bin")  # at most bins + 2 rows
+    upto = F.col("below") + F.sum("n").over(running)
+    holds = (F.col("upto") - F.col("n") <= F.col("rank")) & (F.col("rank") < F.col("upto"))
+    found = counted.withColumn("upto", upto).where(holds)
+    columns = [*ids, "part", "rank", "below", "lo", "hi"]
+    found = found.withColumn("below", F.col("upto") - F.col("n")).select(*columns)
+    return found.unionByName(state.where("lo >= hi").select(*columns))
 
 
 def quantile_table(
@@ -222,11 +117,10 @@ def quantile_table(
     columns: Sequence[str],
     named: dict[str, float],
     by: Sequence[str] = (),
-    exact_limit: int = EXACT_LIMIT,
 ) -> DataFrame:
     """Wide form (by…, column, one column per name in ``named``)."""
     keys = [*by, "column"]
-    tall = exact_quantiles(df, columns, list(named.values()), by, exact_limit)
+    tall = exact_quantiles(df, columns, list(named.values()), by)
     cells = [
         F.max(F.when(F.col("prob") == F.lit(float(p)), F.col("value"))).alias(name)
         for name, p in named.items()

@@ -62,23 +62,32 @@ def test_narrowed_quantiles_equal_numpy_with_a_hot_value_and_groups(spark):
     g = np.where(rng.random(30_000) < 0.6, "big", "small")
     df = spark.createDataFrame(pd.DataFrame({"x": x, "g": g})).repartition(5)
     probs = [0.0, 0.001, 0.25, 0.5, 0.75, 1.0]
-    for r in exact_quantiles(df, ["x"], probs, exact_limit=100, inside_limit=3).collect():
+    for r in exact_quantiles(df, ["x"], probs, bins=7).collect():
         assert r["value"] == pytest.approx(np.quantile(x, r["prob"]), abs=1e-12)
-    found = exact_quantiles(df, ["x"], [0.1, 0.9], by=["g"], exact_limit=100, inside_limit=2).collect()
+    found = exact_quantiles(df, ["x"], [0.1, 0.9], by=["g"], bins=2).collect()
     assert len(found) == 4
     for r in found:
         assert r["value"] == pytest.approx(np.quantile(x[g == r["g"]], r["prob"]), abs=1e-12)
 
 
-def test_a_sketch_that_misses_is_noticed(spark, monkeypatch):
-    """Counts decide, so even a useless sketch cannot change the result."""
-    from tabstudy.operators import quantiles as Q
-
-    monkeypatch.setattr(Q, "ACCURACY", 4)
-    x = np.random.default_rng(8).normal(size=20_000)
+@pytest.mark.parametrize("bins", [64, 4096])
+def test_quantiles_do_not_depend_on_the_number_of_bins(spark, bins):
+    """Values over hundreds of orders of magnitude, both signs, and the ends of the range of doubles."""
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.choice([-1, 1], 3000) * 10.0 ** rng.uniform(-300, 300, 3000), [1.7e308, -1.7e308, 0.0, 0.0, 5e-324]])
     df = spark.createDataFrame(pd.DataFrame({"x": x})).repartition(4)
-    for r in exact_quantiles(df, ["x"], [0.3, 0.31], exact_limit=10, inside_limit=100).collect():
-        assert r["value"] == pytest.approx(np.quantile(x, r["prob"]), abs=1e-12)
+    ranks = [0, 1, 700, 1502, 1503, 3004]
+    for r in exact_quantiles(df, ["x"], [k / 3004 for k in ranks], bins=bins).collect():
+        position = 3004 * r["prob"]
+        low, high = np.sort(x)[[int(np.floor(position)), int(np.ceil(position))]]
+        part = position - np.floor(position)
+        assert r["value"] == pytest.approx((1 - part) * low + part * high, rel=1e-12)
+
+
+def test_bracket_of_a_gap_ends(spark):
+    """The two ranks of a median may lie at the far ends of a range with nothing between."""
+    df = spark.createDataFrame([(x,) for x in [0.0] * 50 + [1e9] * 50], "x double")
+    assert exact_quantiles(df, ["x"], [0.5], bins=3).first()["value"] == 5e8
 
 
 def test_describe_matches_pandas(spark):
