@@ -20,7 +20,7 @@ SPACE = 16**DIGITS
 BRACKET_ROWS = 20_000  # keys of one bracket fetched to find the cut
 DRIVER_KEYS = 2_000_000  # keys fetched over all cuts together
 PREFIX_ROWS = 500_000  # rows per prefix bucket when numbering
-MAX_PREFIX = 4
+STRETCH = 4096  # buckets summed together when running over buckets
 COPY_CHUNK = 100_000
 ABOVE_ALL = "g"  # greater than any hex key
 
@@ -203,31 +203,49 @@ def dense_index(df: DataFrame, key: str, n: int, output: str = "idx", by: str |
     are equally full whatever the data looks like, because keys are uniform.
     """
     digits = 1
-    while n / 16**digits > PREFIX_ROWS and digits < MAX_PREFIX:
+    while n / 16**digits > PREFIX_ROWS:
         digits += 1
     groups = [by] if by else []
-    bucketed = df.withColumn("__p", F.substring(key, 1, digits))
+    place = F.conv(F.substring(key, 1, digits), 16, 10).cast("bigint")
+    bucketed = df.withColumn("__p", place)
     counts = bucketed.groupBy(*groups, "__p").agg(F.count(F.lit(1)).alias("__c"))
-    rows = sorted(counts.collect(), key=lambda r: (str(r[0]), r["__p"]))  # prefixes x classes
-    offsets, seen = [], {}
-    for r in rows:
-        cls = r[0] if by else None
-        offsets.append((*([cls] if by else []), r["__p"], seen.get(cls, 0)))
-        seen[cls] = seen.get(cls, 0) + r["__c"]
-    schema = T.StructType(
-        [
-            *([T.StructField("__by", df.schema[by].dataType)] if by else []),
-            T.StructField("__prefix", T.StringType()),
-            T.StructField("__offset", T.LongType()),
-        ]
+    offsets = totals_before(counts, "__p", ["__c"], groups).select(
+        *[F.col(g).alias("__by") for g in groups], F.col("__p").alias("__prefix"), F.col("__before_c").alias("__offset")
     )
-    table = small_table(df.sparkSession, offsets, schema)
     match = F.col("__p") == F.col("__prefix")
     if by:
         match = match & F.col(by).eqNullSafe(F.col("__by"))
     inside = Window.partitionBy(*groups, "__p").orderBy(key)
     return (
         bucketed.withColumn("__r", F.row_number().over(inside))
-        .join(table, match)
+        .join(offsets, match)
         .select(*df.columns, (F.col("__offset") + F.col("__r") - 1).cast("bigint").alias(output))
     )
+
+
+def totals_before(
+    totals: DataFrame, bucket: str, values: Sequence[str], by: Sequence[str] = (), stretch: int = STRETCH
+) -> DataFrame:
+    """``totals`` (one row per bucket number) with the sum of each value over all smaller buckets.
+
+    A value ``__c`` gets the column ``__before_c``. Buckets are summed within stretches of ``stretch`` numbers, and
+    only one row per stretch meets in the window that runs over all of them.
+    """
+    rows = totals.withColumn("__stretch", F.floor(F.col(bucket) / F.lit(stretch)))
+    names = {v: f"__before_{v.lstrip('_')}" for v in values}
+    near = Window.partitionBy(*by, "__stretch").orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    far = Window.partitionBy(*by).orderBy("__stretch").rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("bigint")
+    coarse = rows.groupBy(*by, "__stretch").agg(*[F.sum(v).alias(f"__all_{n}") for v, n in names.items()])
+    coarse = coarse.select(
+        *[F.col(b).alias(f"__by_{b}") for b in by],
+        F.col("__stretch").alias("__s"),
+        *[F.coalesce(F.sum(f"__all_{n}").over(far), zero).alias(f"__far_{n}") for n in names.values()],
+    )
+    match = F.col("__stretch") == F.col("__s")
+    for b in by:
+        match = match & F.col(b).eqNullSafe(F.col(f"__by_{b}"))
+    local = rows.withColumns({n: F.coalesce(F.sum(v).over(near), zero) for v, n in names.items()})
+    return local.join(coarse, match).select(
+        *totals.columns, *[(F.col(n) + F.col(f"__far_{n}")).alias(n) for n in names.values()]
+    )

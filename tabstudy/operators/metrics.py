@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from tabstudy.operators.keyed import totals_before
 from tabstudy.session import small_table
 
 BUCKET_ROWS = 1_000_000  # scores per running-sum bucket
@@ -128,22 +130,20 @@ def score_counts(df: DataFrame, label: str, score: str, positive: object = 1) ->
     counted = bucketed.groupBy("bucket", "score").agg(
         F.sum("y").cast("bigint").alias("pos"), F.sum(1 - F.col("y")).cast("bigint").alias("neg")
     )
-    totals = (
-        counted.groupBy("bucket")
-        .agg(
-            F.sum("pos").alias("pos"),
-            F.sum("neg").alias("neg"),
-            F.max(F.struct("score", "pos", "neg")).alias("top"),
-        )
-        .orderBy(F.desc("bucket"))
-        .collect()  # one row per bucket
+    totals = counted.groupBy("bucket").agg(
+        F.sum("pos").alias("__pos"), F.sum("neg").alias("__neg"), F.max(F.struct("score", "pos", "neg")).alias("top")
     )
-    above, tp, fp = [], 0, 0
-    for i, r in enumerate(totals):
-        below = totals[i + 1]["top"] if i + 1 < len(totals) else None
-        above.append((r["bucket"], tp, fp, below["pos"] if below else None, below["neg"] if below else None))
-        tp, fp = tp + r["pos"], fp + r["neg"]
-    table = small_table(df.sparkSession, above, "bucket double, above_pos bigint, above_neg bigint, below_pos bigint, below_neg bigint"
+    # buckets are numbered from the highest score down; the next lower bucket may be empty, so it is looked up by order
+    totals = totals.withColumn("__down", F.lit(len(edges)) - F.col("bucket").cast("bigint"))
+    order = Window.partitionBy(F.lit(0)).orderBy("__down")  # at most BUCKETS rows
+    table = totals_before(totals, "__down", ["__pos", "__neg"]).select(
+        "bucket",
+        F.col("__before_pos").alias("above_pos"),
+        F.col("__before_neg").alias("above_neg"),
+        F.lead("top.pos").over(order).alias("below_pos"),
+        F.lead("top.neg").over(order).alias("below_neg"),
+        F.sum("__pos").over(Window.partitionBy(F.lit(0))).alias("all_pos"),
+        F.sum("__neg").over(Window.partitionBy(F.lit(0))).alias("all_neg"),
     )
     down = Window.partitionBy("bucket").orderBy(F.desc("score"))
     upto = down.rowsBetween(Window.unboundedPreceding, 0)
@@ -165,8 +165,8 @@ def score_counts(df: DataFrame, label: str, score: str, positive: object = 1) ->
             (F.col("above_neg") + F.col("run_neg")).alias("fp"),
             F.coalesce("lead_pos", "below_pos").alias("next_pos"),
             F.coalesce("lead_neg", "below_neg").alias("next_neg"),
-            F.lit(tp).cast("bigint").alias("all_pos"),
-            F.lit(fp).cast("bigint").alias("all_neg"),
+            "all_pos",
+            "all_neg",
         )
     )
 

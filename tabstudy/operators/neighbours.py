@@ -20,8 +20,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tabstudy.operators.keyed import hash_key
 from tabstudy.session import cut_lineage, small_table
 
-MAX_PIVOTS = 1024
 PIECE = 4096  # vectors of one role in one search task
+BLOCK = 4_000_000  # distances held at once
+NEAR_CELLS = 64  # cells around a cell whose points bound its reach
 SLACK = 1e-9  # relative room for rounding in the bounds
 
 
@@ -70,6 +71,14 @@ def _matrix(column: pa.Array | pa.ChunkedArray, n: int) -> np.ndarray:
     return np.asarray(column.flatten()).reshape(n, -1)
 
 
+def _blocks(batches, pivots: int):
+    """Slices of at most ``BLOCK`` distances to the pivots."""
+    step = max(1, BLOCK // max(1, pivots))
+    for batch in batches:
+        for at in range(0, batch.num_rows, step):
+            yield batch.slice(at, step)
+
+
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Squared distances of all rows of ``a`` to all rows of ``b``, summed dimension by dimension."""
     out = np.zeros((len(a), len(b)))
@@ -83,13 +92,13 @@ def _nearest_vectors(folded: DataFrame, want: int, piece: int) -> DataFrame:
     """(rep, cand, dist2): the ``want`` nearest distinct vectors of each, itself included."""
     spark = folded.sparkSession
     n = folded.count()
-    wanted = max(1, min(MAX_PIVOTS, math.isqrt(n)))
+    wanted = max(1, math.isqrt(n))  # cells and pivots grow alike: about sqrt(n) points to a cell
     drawn = folded.orderBy(hash_key(["rep"], "pivot")).limit(wanted).select("x").collect()
     pivots = np.array([r["x"] for r in drawn], dtype=float)
     reach, counts, radius = _cell_bounds(folded, pivots, want)
 
     def roles(batches):
-        for batch in batches:
+        for batch in _blocks(batches, len(pivots)):
             x = _matrix(batch.column("x"), batch.num_rows)
             d = np.sqrt(_distances(x, pivots))
             cell = d.argmin(axis=1)
@@ -165,7 +174,7 @@ def _cell_bounds(folded: DataFrame, pivots: np.ndarray, want: int) -> tuple[np.n
     """Per cell: bound on the distance to its ``want``-th neighbour, point count, radius."""
 
     def measure(batches):
-        for batch in batches:
+        for batch in _blocks(batches, len(pivots)):
             d = np.sqrt(_distances(_matrix(batch.column("x"), batch.num_rows), pivots))
             cell = d.argmin(axis=1)
             own = d[np.arange(len(d)), cell]
@@ -193,10 +202,13 @@ def _cell_bounds(folded: DataFrame, pivots: np.ndarray, want: int) -> tuple[np.n
     for r in rows:
         counts[r["cell"]], radius[r["cell"]] = r["n"], r["radius"]
         nearest[r["cell"], : len(r["near"])] = r["near"]
-    between = np.sqrt(_distances(pivots, pivots))
     reach = np.empty(p)
-    for i in range(p):
-        upper = radius[i] + between[i][:, None] + nearest  # of any point here to known points there
-        flat = np.sort(upper, axis=None)
-        reach[i] = flat[min(want, flat.size) - 1]
+    step = max(1, BLOCK // max(1, p))
+    for at in range(0, p, step):
+        between = np.sqrt(_distances(pivots[at : at + step], pivots))
+        # any known points bound the reach from above; those of the nearest cells bound it well
+        close = np.argpartition(between, min(NEAR_CELLS, p) - 1, axis=1)[:, :NEAR_CELLS]
+        for i, row in enumerate(close):
+            upper = np.sort(between[i, row][:, None] + nearest[row], axis=None) + radius[at + i]
+            reach[at + i] = upper[min(want, upper.size) - 1]
     return reach, counts, radius

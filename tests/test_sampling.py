@@ -145,3 +145,59 @@ def test_one_class_needs_no_resampling(spark):
     for f in (R.random_oversample, R.random_undersample):
         assert f(df, "y", ["id"]).count() == 5
     assert R.weighted_bootstrap(df, "y", ["id"]).count() == 5
+
+
+@pytest.mark.parametrize("stretch", [1, 3, 4096])
+def test_totals_before(spark, stretch):
+    from tabstudy.operators.keyed import totals_before
+
+    rows = [(g, b, b + len(g)) for g in ("x", "yy") for b in (0, 1, 2, 5, 9, 40, 41)]
+    frame = spark.createDataFrame(rows, "g string, b long, c long").repartition(3)
+    got = {(r["g"], r["b"]): r["__before_c"] for r in totals_before(frame, "b", ["c"], ["g"], stretch).collect()}
+    assert got == {(g, b): sum(c for h, k, c in rows if h == g and k < b) for g, b, _ in rows}
+
+
+def test_dense_index_with_small_buckets(spark, monkeypatch):
+    from tabstudy.operators import keyed
+
+    monkeypatch.setattr(keyed, "PREFIX_ROWS", 2)
+    frame = spark.range(500).withColumn("h", keyed.hash_key(["id"], 1)).withColumn("g", F.col("id") % 2)
+    for by in (None, "g"):
+        got = keyed.dense_index(frame, "h", 500, by=by).collect()
+        for g in (0, 1) if by else (None,):
+            part = sorted((r["h"], r["idx"]) for r in got if g is None or r["g"] == g)
+            assert [i for _, i in part] == list(range(len(part)))
+
+
+@pytest.mark.parametrize("block", [50, 4_000_000])
+def test_neighbours_do_not_depend_on_the_blocks(spark, monkeypatch, block):
+    from tabstudy.operators import neighbours
+
+    monkeypatch.setattr(neighbours, "BLOCK", block)
+    monkeypatch.setattr(neighbours, "NEAR_CELLS", 3)
+    x = np.random.default_rng(4).normal(size=(900, 2))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, x array<double>")
+    got = {}
+    for r in neighbours.nearest_neighbours(frame, "id", "x", 4, piece=100).collect():
+        got.setdefault(r["id"], {})[r["rank"]] = r["neighbour"]
+    d = ((x[:, None] - x[None]) ** 2).sum(-1)
+    np.fill_diagonal(d, np.inf)
+    assert all([got[i][k] for k in (1, 2, 3, 4)] == np.argsort(d[i], kind="stable")[:4].tolist() for i in range(900))
+
+
+def test_small_state_is_the_same_held_either_way(spark):
+    from tabstudy.session import hold_small
+
+    frame = spark.range(20).selectExpr("id", "cast(id as string) AS s", "array(id) AS a")
+    assert sorted(hold_small(frame, 100).collect()) == sorted(hold_small(frame, 3).collect())
+
+
+def test_scratch_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from tabstudy.session import shared_folder
+
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *_: None))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session)
