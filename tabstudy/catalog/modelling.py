@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tabstudy.catalog.registry import Tables, bind
 from tabstudy.functions.columns import label_of
@@ -399,32 +399,77 @@ def predict_probability(t: Tables):
     return E.positive_scores(model, scored).select("x", F.round("score", 4).alias("probability"), "n")
 
 
-@bind("ml_13_training_history")
+#: What predicting the mean of the label of ``event_rows`` costs, for rows that ``where`` selects.
+MEAN_LOSS = """SELECT avg(y) * (1 - avg(y)) AS loss FROM (SELECT event_id, CASE WHEN value BETWEEN q[1] AND q[2] THEN 1 ELSE 0
+  END::DOUBLE AS y FROM events, (SELECT quantile_cont(value, [0.3, 0.7]) AS q FROM events)) WHERE {where}"""
+
+
+@bind(
+    "ml_13_training_history",
+    f"""SELECT 'net' AS series, e::INTEGER AS epoch, true AS finite, true AS rooted, e > 0 AS lower, round(loss, 6) AS mean_loss,
+    true AS beats_mean FROM range(0, 3) r(e), ({MEAN_LOSS.format(where="true")})""",
+)
 def training_history(t: Tables):
+    """Every epoch measured; losses fall below those before and end below a mean predictor's."""
     rows = event_rows(t)
     model = NeuralNet(epochs=3, key=["event_id"]).fit_with_history(rows, rows)
-    return model.history(rows)
+    history = model.history(rows)
+    mean_loss = rows.agg(F.var_pop("label")).first()[0]
+    order = Window.partitionBy("series").orderBy("epoch")
+    last = F.last("val_loss").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    finite = F.coalesce(F.abs(F.col("train_loss")) + F.abs(F.col("val_loss")) < float("inf"), F.lit(False))
+    return history.select(
+        "series",
+        (F.col("epoch") - F.min("epoch").over(Window.partitionBy("series"))).cast("int").alias("epoch"),
+        finite.alias("finite"),
+        (F.abs(F.col("val_rmse") * F.col("val_rmse") / F.col("val_loss") - 1) < 1e-6).alias("rooted"),
+        F.coalesce(F.col("train_loss") < F.lag("train_loss").over(order), F.lit(False)).alias("lower"),
+        F.lit(round(mean_loss, 6)).alias("mean_loss"),
+        (last < F.lit(mean_loss)).alias("beats_mean"),
+    )
 
 
-@bind("ml_13_objective_history")
+@bind(
+    "ml_13_objective_history",
+    logistic_sql().rsplit(" SELECT ", 1)[0]
+    + """ SELECT round(any_value(w * w) / 2 / sum(n) + sum(n * ln(1 + exp(w * x + b)) - pos * (w * x + b)) / sum(n), 6) AS final,
+    true AS falls, round(ln(sum(n)) - (sum(pos) * ln(sum(pos)) + sum(n - pos) * ln(sum(n - pos))) / sum(n), 6) AS start
+    FROM d, w9""",
+)
 def objective_history(t: Tables):
-    return linear_history(Logistic(maxIter=20).fit(returned(t)))
+    """The objective starts at the label's entropy, never rises, and ends at its minimum."""
+    history = linear_history(fit_returned(t, Logistic(maxIter=50, tol=1e-12)))
+    values = [r["loss"] for r in history.orderBy("epoch").collect()]  # one per iteration
+    falls = all(b <= a + 1e-12 for a, b in zip(values, values[1:], strict=False))
+    found = [(round(values[-1], 6), falls, round(values[0], 6))]
+    return t.spark.createDataFrame(found, "final double, falls boolean, start double")
 
 
 @bind(
     "ml_14_tuning",
-    "SELECT * FROM (VALUES ('base', 2), ('faster', 2), ('wider', 2)) x(config, epochs)",
+    f"""SELECT config, 8 AS epochs, round(t.loss, 6) AS train_mean_loss, round(v.loss, 6) AS val_mean_loss, true AS learned
+    FROM (VALUES ('base'), ('faster'), ('wider')) x(config), ({MEAN_LOSS.format(where="event_id % 5 <> 0")}) t,
+    ({MEAN_LOSS.format(where="event_id % 5 = 0")}) v""",
 )
 def tuning(t: Tables):
+    """Each configuration is trained: on both parts it beats the part's own mean."""
     rows = event_rows(t)
     train, val = rows.where("event_id % 5 <> 0"), rows.where("event_id % 5 = 0")
     configs = {
-        "base": NeuralNet(epochs=2, key=["event_id"]),
-        "faster": NeuralNet(epochs=2, lr=0.005, key=["event_id"]),
-        "wider": NeuralNet(hidden=(256, 128, 64), epochs=2, key=["event_id"]),
+        "base": NeuralNet(epochs=8, key=["event_id"]),
+        "faster": NeuralNet(epochs=8, lr=0.005, key=["event_id"]),
+        "wider": NeuralNet(hidden=(256, 128, 64), epochs=8, key=["event_id"]),
     }
     table, _ = E.tuning(configs, train, val)
-    return table.where("train_mse > 0 AND val_mse > 0 AND seconds > 0").select("config", "epochs")
+    mean_train, mean_val = (d.agg(F.var_pop("label")).first()[0] for d in (train, val))
+    learned = F.col("train_mse").between(0, mean_train) & F.col("val_mse").between(0, mean_val) & (F.col("seconds") > 0)
+    return table.select(
+        "config",
+        "epochs",
+        F.lit(round(mean_train, 6)).alias("train_mean_loss"),
+        F.lit(round(mean_val, 6)).alias("val_mean_loss"),
+        learned.alias("learned"),
+    )
 
 
 @bind(

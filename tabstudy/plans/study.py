@@ -34,18 +34,19 @@ from tabstudy.sources.tables import (
 )
 
 
-MAX_CATEGORIES = 10_000
-
-
 @dataclass(frozen=True)
 class Roles:
-    """Which column plays which part. Without a key, equal rows are numbered to get one."""
+    """Which column plays which part. Without a key, equal rows are numbered to get one.
+
+    ``max_categories`` bounds the values of a categorical column; one that has more is refused.
+    """
 
     numeric: Sequence[str]
     categorical: Sequence[str]
     target: str
     label: str
     positive: object
+    max_categories: int
     key: Sequence[str] = ()
 
 
@@ -63,6 +64,7 @@ FARES = Roles(
     target="price",
     label="class",
     positive="Business",
+    max_categories=10_000,
     key=("_c0",),
 )
 
@@ -75,7 +77,7 @@ def keyed_rows(df: DataFrame, roles: Roles) -> tuple[DataFrame, list[str]]:
     return number_copies(df.select(*columns)), [*columns, "copy_no"]
 
 
-def check_categories(df: DataFrame, columns: Sequence[str], most: int = MAX_CATEGORIES) -> None:
+def check_categories(df: DataFrame, columns: Sequence[str], most: int) -> None:
     """Refuse identifiers as categories: a vocabulary lives on the driver and in every model."""
     found = P.approximate_distinct_counts(df, columns).where(F.col("cardinality") > most).collect()
     if found:
@@ -120,7 +122,7 @@ def balancing_study(
 
     Techniques: none, oversample, undersample, bootstrap (weighted), smote.
     """
-    check_categories(df, roles.categorical)
+    check_categories(df, roles.categorical, roles.max_categories)
     rows, key = keyed_rows(df, roles)
     rows = rows.withColumn("label", label_of(roles.label, roles.positive))
     parts = assign_splits(rows, key, holdout, names, stratify="label")
@@ -158,7 +160,7 @@ def target_study(
     Tables: ``meta`` (sizes), ``results`` (test), ``by_split`` (all parts), ``chosen`` (best on
     validation, reported on test); and the fitted models.
     """
-    check_categories(df, roles.categorical)
+    check_categories(df, roles.categorical, roles.max_categories)
     rows, key = keyed_rows(df, roles)
     rows = rows.withColumn("label", F.col(roles.target).cast("double"))
     parts = assign_splits(rows, key, stratify=roles.label if stratify else None)

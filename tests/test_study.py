@@ -70,7 +70,7 @@ def test_target_study_and_reports(spark, small_fares, tmp_path):
 
 
 def test_table_without_a_key(small_fares):
-    roles = study.Roles(("duration", "days_left"), ("class",), "price", "class", "Business")
+    roles = study.Roles(("duration", "days_left"), ("class",), "price", "class", "Business", 1000)
     doubled = small_fares.union(small_fares)
     meta = study.target_study(doubled, roles, {"ridge": Ridge()})["meta"].first()
     assert meta["train_samples"] + meta["val_samples"] + meta["test_samples"] == 10_000
@@ -84,6 +84,6 @@ def test_profile_tables(small_fares):
 
 
 def test_an_identifier_is_no_category(small_fares):
-    roles = study.Roles(("duration",), ("_c0",), "price", "class", "Business")
+    roles = study.Roles(("duration",), ("_c0",), "price", "class", "Business", 1000)
     with pytest.raises(ValueError, match="_c0"):
-        study.check_categories(small_fares, roles.categorical, most=1000)
+        study.check_categories(small_fares, roles.categorical, roles.max_categories)
