@@ -107,6 +107,8 @@ class PageTree(HTMLParser):
 def parse(html: str) -> Node:
     tree = PageTree()
     tree.feed(html)
+    if re.match(r"<(?:!--|[a-zA-Z/!?])", tree.rawdata):
+        tree.rawdata = ""  # a tag or comment that the page's end cuts off is no text
     tree.close()
     return tree.root
 

@@ -119,7 +119,7 @@ def read_directory(source, size: int) -> list[Member]:
     """
     tail_at = max(0, size - (22 + FULL16))
     tail = source.read_at(size - tail_at, tail_at)
-    at = tail.rfind(struct.pack("<I", END))
+    at = tail.rfind(struct.pack("<I", END), 0, max(0, len(tail) - 18))
     while at >= 0 and at + 22 + struct.unpack_from("<H", tail, at + 20)[0] != len(tail):
         at = tail.rfind(struct.pack("<I", END), 0, at)
     if at < 0:
