@@ -51,7 +51,7 @@ def balancing_table(t: Tables):
         "oversample": lambda d: R.random_oversample(d, "label", key),
         "undersample": lambda d: R.random_undersample(d, "label", key),
     }
-    return E.balancing(train, val, samplers, lambda: Logistic(maxIter=100, tol=1e-6))[0]
+    return E.balancing(train, val, samplers, lambda: Logistic(maxIter=100, tol=1e-4))[0]
 
 
 @bind("exp_01_balancing_network", "SELECT * FROM (VALUES ('none', true), ('bootstrap', true)) x(technique, valid)")
