@@ -11,7 +11,6 @@ that it opens by URI.
 from __future__ import annotations
 
 import gzip
-import hashlib
 import json
 import struct
 import uuid
@@ -384,7 +383,3 @@ def read_records(locations: DataFrame, folder: str, range_bytes: int = RANGE_BYT
 
     stretch = F.floor(F.col("at") / F.lit(range_bytes))
     return locations.repartition(F.col("path"), stretch).mapInPandas(read, schema)
-
-
-def digest_of(payload: bytes) -> str:
-    return hashlib.sha1(payload).hexdigest()

@@ -38,12 +38,12 @@ def test_one_class_gives_its_share():
 
 
 def test_held_out_accuracy(spark):
-    folder = "/root/testdata/sf0.01"
+    folder = "/root/testdata/sf0.1"
     scored = op9_quality(spark, folder)
     labels = table(spark, folder, "labels")
     held = scored.join(labels, "doc_id").where("held_out").select("score", "predicted", "quality").collect()
-    assert len(held) > 50
-    assert np.mean([r["predicted"] == r["quality"] for r in held]) > 0.95
+    assert len(held) > 500
+    assert np.mean([r["predicted"] == r["quality"] for r in held]) > 0.98
     assert all(r["predicted"] == 1 for r in held if r["quality"] == 1)
 
 
