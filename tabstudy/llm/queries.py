@@ -34,11 +34,12 @@ def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
     store = scratch_path(spark, "warc")
     packages = cut_lineage(warc.write_packages(records, store))
-    locations = warc.list_records(packages.repartition("path"), store)
+    tasks = warc.reading_tasks(packages)
+    locations = warc.list_records(packages, store, tasks)
     number = lambda c: F.regexp_extract(c, r"^urn:page:(-?\d+)$", 1)
     to_long = lambda c: F.when(number(c) != "", number(c).cast("bigint"))
     own = F.col("record_type") == "response"
-    return warc.read_records(locations, store).select(
+    return warc.read_records(locations, store, tasks).select(
         to_long("record_id").alias("page_id"),
         F.when(own, F.octet_length("payload")).otherwise(F.col("declared_bytes")).cast("bigint").alias("payload_bytes"),
         F.when(own, F.sha1("payload")).otherwise(F.col("declared_digest")).alias("payload_digest"),

@@ -28,6 +28,7 @@ INDEX_MEMBER = "indexes/index.cdxj"
 ABOUT_MEMBER = "datapackage.json"
 PACKAGE_BYTES = 32 << 20  # compressed bytes after which a task starts another package
 RANGE_BYTES = 4 << 20  # bytes fetched at once when reading records
+TASK_BYTES = 32 << 20  # bytes of packages to a reading task
 LEAST_REVISIT = 1000
 
 # fixed values of the ZIP format
@@ -288,10 +289,16 @@ def write_packages(records: DataFrame, folder: str, package_bytes: int = PACKAGE
     return records.select(*names).mapInArrow(written, "path string, bytes bigint, records bigint")
 
 
-def list_records(packages: DataFrame, folder: str) -> DataFrame:
+def reading_tasks(packages: DataFrame, task_bytes: int = TASK_BYTES) -> int:
+    """Tasks for reading ``packages`` (with column bytes), by what they hold: their names' size says nothing of it."""
+    total = packages.agg(F.sum("bytes")).first()[0] or 0
+    return max(1, -(-total // task_bytes))
+
+
+def list_records(packages: DataFrame, folder: str, tasks: int) -> DataFrame:
     """(path, offset, length) of every record: directory and index of each package, no record is read.
 
-    Packages (column path) are dealt out evenly. Only stored members are located; a compressed member named by
+    Packages (column path) are dealt out to ``tasks`` tasks. Only stored members are located; a compressed member named by
     the index is an error, as its records have no byte range.
     """
 
@@ -324,13 +331,13 @@ def list_records(packages: DataFrame, folder: str) -> DataFrame:
                         }
                     )
 
-    return packages.select("path").mapInArrow(listed, "path string, at bigint, length bigint")
+    return packages.select("path").repartition(tasks, "path").mapInArrow(listed, "path string, at bigint, length bigint")
 
 
-def read_records(locations: DataFrame, folder: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
+def read_records(locations: DataFrame, folder: str, tasks: int, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """The records at (path, at, length): fields, and the payload a record carries itself.
 
-    Locations are spread by (path, stretch of ``range_bytes``), so that one large package is read by many tasks
+    Locations are spread over ``tasks`` tasks by (path, stretch of ``range_bytes``), so that one large package is read by many tasks
     and neighbouring records in one request.
     """
     schema = (
@@ -382,4 +389,4 @@ def read_records(locations: DataFrame, folder: str, range_bytes: int = RANGE_BYT
                         yield pd.DataFrame(rows, columns=[p.split()[0] for p in schema.split(", ")])
 
     stretch = F.floor(F.col("at") / F.lit(range_bytes))
-    return locations.repartition(F.col("path"), stretch).mapInPandas(read, schema)
+    return locations.repartition(tasks, F.col("path"), stretch).mapInPandas(read, schema)

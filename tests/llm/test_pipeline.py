@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections import Counter
 
-import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -101,4 +100,3 @@ def test_stages_take_odd_documents(spark):
         out.collect()
         if out.columns == docs.columns:
             docs = spark.createDataFrame(out.collect(), docs.schema)
-    assert np.isfinite(1.0)
