@@ -15,6 +15,9 @@ from html.parser import HTMLParser
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tabstudy.llm.components import written
+
+HOT_HOSTS = 1000
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer "
@@ -310,14 +313,14 @@ def extract_text(
 ) -> DataFrame:
     """(id, url, text, path): the main text of every page, and its host's winning path.
 
-    Pages meet their host's path in a join on statistics of one row per host, which Spark broadcasts
-    while small; otherwise a host that holds a third of all pages is split by the skew handling of that join.
+    Hosts that hold more than 1/``HOT_HOSTS`` of all pages are fewer than ``HOT_HOSTS`` whatever the table: their paths are
+    broadcast, so that the pages of a very common host are not moved at all. The others meet their path in a join by host.
 
     Defined cases: a null or empty page has the empty text; a page without a host votes with all others
     of that kind; a page without any container gives all its text outside boilerplate; repeated rows vote and are
     returned once each; an empty table gives an empty table; other columns are not read.
     """
-    winners = host_paths(pages, url_column, html_column)
+    winners = written(host_paths(pages, url_column, html_column), "paths")
     id_type = pages.schema[id_column].dataType.simpleString()
     cast = pages.select(
         F.col(id_column).alias("id"),
@@ -325,7 +328,13 @@ def extract_text(
         F.col(html_column).alias("html"),
         url_host(F.col(url_column)).alias("__host"),
     )
-    met = cast.join(winners, cast["__host"] == winners["host"], "left").select("id", "url", "path", "html")
+    sizes = cast.groupBy("__host").agg(F.count(F.lit(1)).alias("n"))
+    total = pages.count()
+    named = winners.select(F.col("host").alias("__host"), "path")
+    hot = written(sizes.where(F.col("n") * HOT_HOSTS > total).select("__host").join(named, "__host", "left"), "hosts")
+    common = cast.join(F.broadcast(hot), "__host").select("id", "url", "path", "html")
+    rest = cast.join(F.broadcast(hot.select("__host")), "__host", "left_anti").join(named, "__host", "left")
+    met = common.unionByName(rest.select("id", "url", "path", "html"))
 
     def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -55,7 +55,10 @@ def host_pages():
     return rows
 
 
-def test_consensus_beats_the_page(spark):
+@pytest.mark.parametrize("hot", [1, 2, 1000])
+def test_consensus_beats_the_page(spark, monkeypatch, hot):
+    """Whether no, one or each host counts as common."""
+    monkeypatch.setattr(htmltext, "HOT_HOSTS", hot)
     frame = spark.createDataFrame(host_pages(), "page_id long, url string, html string").repartition(4)
     got = {r["page_id"]: (r["text"], r["path"]) for r in htmltext.extract_text(frame).collect()}
     assert got[9] == ("short", "body>div.story")
