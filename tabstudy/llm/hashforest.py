@@ -26,6 +26,7 @@ BLOCK_ROWS = 4096
 CANDIDATE_SHARE = 0.6  # the ascent stops when ranges hold this share of the shard, counted over all trees,
 LEAST_CANDIDATES = 3000  # and at least so many vectors, so that small tables are searched more widely
 FIT_ROWS = 4096
+MOST_TASKS = 20_000
 SEED = 11
 
 
@@ -106,9 +107,16 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in column])
 
 
-def fit_projections(vectors: DataFrame, column: str, fit_rows: int = FIT_ROWS, **options) -> Projections:
-    """Centre the hyperplanes on the mean of ``fit_rows`` vectors, those with the smallest key hash."""
-    sample = vectors.orderBy(F.xxhash64(column), column).limit(fit_rows).select(column).toPandas()
+def fit_projections(points: DataFrame, column: str, total: int, fit_rows: int = FIT_ROWS, **options) -> Projections:
+    """Centre the hyperplanes on the mean of about ``fit_rows`` of ``total`` vectors.
+
+    The sample is the points whose hash falls below a share of its range, so its size is binomial around ``fit_rows``, all points
+    if there are no more; nothing is sorted.
+    """
+    share = F.pmod(F.xxhash64(column), F.lit(1 << 20)) < F.lit(-(-fit_rows * (1 << 20) // total))
+    sample = points.where(share).select(column).toPandas()
+    if sample.empty:
+        sample = points.select(column).limit(1).toPandas()
     return Projections(_matrix(sample[column]).mean(axis=0), **options)
 
 
@@ -163,7 +171,7 @@ def nearest_vectors(
         return spark.createDataFrame([], schema)
     shards = -(-n_points // shard_rows)
     blocks = -(-n_queries // block_rows)
-    projections = spark.sparkContext.broadcast(fit_projections(points, "vector", trees=trees, bits=bits))
+    projections = spark.sparkContext.broadcast(fit_projections(points, "vector", n_points, trees=trees, bits=bits))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
     dealt = lambda n: F.pmod(F.xxhash64("point"), F.lit(n))
     shard_side = points.select("point", "vector", dealt(shards).alias("shard"), every(blocks).alias("block"))
@@ -186,9 +194,12 @@ def nearest_vectors(
                 out["score"] += list(distances)
         return pd.DataFrame(out)
 
+    # a pair of shard and block is work for a task of its own, however few bytes it holds
+    tasks = min(shards * blocks, MOST_TASKS)
     found = (
-        shard_side.groupBy("shard", "block")
-        .cogroup(query_side.groupBy("asked_shard", "asked_block"))
+        shard_side.repartition(tasks, "shard", "block")
+        .groupBy("shard", "block")
+        .cogroup(query_side.repartition(tasks, "asked_shard", "asked_block").groupBy("asked_shard", "asked_block"))
         .applyInPandas(search, "query_point binary, found_point binary, score double")
     )
     # a point may stand for several ids, but the nearest neighbours + 1 points always suffice
