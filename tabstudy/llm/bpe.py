@@ -19,7 +19,8 @@ import regex
 from pyspark.sql import DataFrame
 
 LEAF_BYTES = 16
-CACHE_PIECES = 150_000
+CACHE_PIECES = 300_000
+NO_RANK = 1 << 62
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -46,19 +47,21 @@ class BytePairCodec:
         whole = ranks.get(data)
         if whole is not None:
             return [whole]
+        get = ranks.get
         parts = [data[i : i + 1] for i in range(len(data))]
-        scores = [ranks.get(parts[i] + parts[i + 1]) for i in range(len(parts) - 1)]
-        while True:
-            found = [s for s in scores if s is not None]
-            if not found:
-                return [ranks[p] for p in parts]
-            i = scores.index(min(found))
+        scores = [get(data[i : i + 2], NO_RANK) for i in range(len(data) - 1)]
+        while scores:
+            lowest = min(scores)
+            if lowest == NO_RANK:
+                break
+            i = scores.index(lowest)
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
             del scores[i]
             if i < len(scores):
-                scores[i] = ranks.get(parts[i] + parts[i + 1])
-            if i > 0:
-                scores[i - 1] = ranks.get(parts[i - 1] + parts[i])
+                scores[i] = get(parts[i] + parts[i + 1], NO_RANK)
+            if i:
+                scores[i - 1] = get(parts[i - 1] + parts[i], NO_RANK)
+        return [ranks[p] for p in parts]
 
     def are_neighbours(self, left: int, right: int) -> bool:
         """Whether the two tokens are what their joint bytes encode to."""
