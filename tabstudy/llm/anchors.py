@@ -11,7 +11,7 @@ import hashlib
 
 import numpy as np
 
-from tabstudy.llm.hashing import BYTE_CODES, mix, offsets, stream
+from tabstudy.llm.hashing import BYTE_CODES, mix, stream
 
 LENGTH = 200
 GRAM = 64
@@ -91,11 +91,11 @@ def window_hashes(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, n
 
 
 def heads(data: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """The first eight bytes at each place as an order-preserving signed integer."""
-    value = np.zeros(len(place), dtype=np.uint64)
-    for j in range(8):
-        value = (value << np.uint64(8)) | data[place + j].astype(np.uint64)
-    return (value ^ np.uint64(1 << 63)).view(np.int64)
+    """The first four bytes at each place as an order-preserving signed integer."""
+    value = np.zeros(len(place), dtype=np.uint32)
+    for j in range(4):
+        value = (value << np.uint32(8)) | data[place + j].astype(np.uint32)
+    return (value ^ np.uint32(1 << 31)).view(np.int32)
 
 
 def merged_length(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -105,6 +105,3 @@ def merged_length(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.
     fresh = np.concatenate([[True], starts[1:] > ends[:-1]])
     first = np.flatnonzero(fresh)
     return starts[first], ends[np.concatenate([first[1:] - 1, [len(ends) - 1]])]
-
-
-__all__ = ["entries", "entry_digests", "gram_hashes", "heads", "merged_length", "offsets", "window_hashes"]

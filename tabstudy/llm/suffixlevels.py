@@ -13,7 +13,6 @@ these few the bytes are fetched and compared window by window.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +25,8 @@ from tabstudy.session import cut_lineage, scratch_path
 
 BATCHES = 4
 GROUP_ENTRIES = 4096  # different runs of one gram compared within a task; more are compared by a shuffle of windows
-ENTRY = "node binary, start int, windows int, head bigint, gram bigint, run bigint, batch int"
+SALTS = 16  # parts of the entries of one gram when they meet the grams found
+ENTRY = "node binary, start int, windows int, head int, gram bigint, run bigint, batch int"
 
 
 def text_node(text: Column) -> Column:
@@ -288,7 +288,15 @@ def repeated_spans(
         .distinct()
     )
     one = F.min(F.struct("node", "start", "windows")).alias("e")
-    unlike = entries.join(grams, "gram").groupBy("gram", "run").agg(one).select("gram", "run", "e.*")
+    # a gram inside a very common passage holds many entries: each salt of it meets its own copy of the gram
+    parts = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
+    salted = entries.withColumn("salt", F.pmod(F.xxhash64("node", "start"), F.lit(SALTS)))
+    unlike = (
+        salted.join(grams.withColumn("salt", F.explode(parts)), ["gram", "salt"])
+        .groupBy("gram", "run")
+        .agg(one)
+        .select("gram", "run", "e.*")
+    )
     covered = runs.withColumn("covered", F.lit(True))
     unlike = unlike.join(covered, ["gram", "run"], "left").withColumn("covered", F.coalesce("covered", F.lit(False)))
     crowds = unlike.groupBy("gram").agg(F.count(F.lit(1)).alias("crowd"))
@@ -401,7 +409,3 @@ def remove_repeats(
         f"`{id_column}` {id_type}, n_bytes bigint, n_removed bigint, n_spans bigint, "
         "spans array<struct<begin:bigint,end:bigint>>, kept binary",
     )
-
-
-def kept_digest(kept: bytes) -> str:
-    return hashlib.sha256(kept).hexdigest()

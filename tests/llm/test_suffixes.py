@@ -105,7 +105,7 @@ def test_levels_merge_geometrically(spark):
     sizes = []
     for batch in range(7):
         rows = [(batch * 10 + i, i, i) for i in range(10)] + [(1000, 5, 5)]
-        family.add(spark.createDataFrame(rows, "head long, gram long, run long"))
+        family.add(spark.createDataFrame(rows, "head int, gram long, run long"))
         sizes.append([n for n, _ in family.levels])
     assert sizes == [[1], [2], [2, 1], [4], [4, 1], [4, 2], [4, 2, 1]]
     level = spark.read.parquet(family.levels[0][1])
