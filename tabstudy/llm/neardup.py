@@ -5,18 +5,32 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from tabstudy.llm.components import component_roots
+from tabstudy.llm.components import component_roots, relabelled, written
 from tabstudy.llm.darts import signatures
-from tabstudy.llm.hashing import GRAM_BASE, distinct_counts, mix, shingle_hashes, text_batches, word_hashes
-from tabstudy.session import cut_lineage, scratch_path
+from tabstudy.llm.hashing import (
+    GOLDEN,
+    GRAM_BASE,
+    distinct_counts,
+    mix,
+    offsets,
+    ramp,
+    shingle_hashes,
+    text_batches,
+    word_hashes,
+)
+from tabstudy.session import scratch_path
 
 WORDS = 5
 SIMILARITY = 0.8
 BANDS = 20
 BAND_ROWS = 4
+BLOCK_ROWS = 1024  # members of a hub in one block
+BLOCK_UNITS = 8_000_000  # cells of a block's matrix
+BLOCK_COLUMNS = 4096
 
 
 def weighted_shingles(texts: list[str], words: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -67,26 +81,153 @@ def sign_documents(
     ).mapInArrow(signed, f"id {id_type}, node binary, bands array<bigint>")
 
 
-def check_pairs(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose texts reach ``similarity``, measured exactly."""
-    left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
+def against_hub(hub: tuple, other: tuple) -> tuple[float, bytes, bytes]:
+    """Similarity of two weighted sets, and what decides the other's similarity to further sets.
+
+    An element of weight w counts as w units. Returned are a bitmap of the hub's units that the other has too, and sorted
+    hashes of the other's units beyond them. Two sets x and y so described share as many units as their
+    bitmaps have in common plus as many as their hashes have in common.
+    """
+    elements, weights = hub
+    own, times = other
+    _, i, j = np.intersect1d(elements, own, assume_unique=True, return_indices=True)
+    shared = np.minimum(weights[i], times[j])
+    bits = np.zeros(int(weights.sum()), dtype=np.uint8)
+    bits[np.repeat(offsets(weights)[i], shared) + ramp(shared)] = 1
+    have = np.zeros(len(own), dtype=np.int64)
+    have[j] = weights[i]
+    beyond = np.maximum(times - have, 0)
+    unit_no = np.repeat(have, beyond) + ramp(beyond)
+    extra = np.sort(mix(np.repeat(own, beyond) + unit_no.astype(np.uint64) * GOLDEN))
+    common, total = float(shared.sum()), float(weights.sum() + times.sum())
+    similarity = common / (total - common) if total else 1.0
+    return similarity, np.packbits(bits).tobytes(), extra.tobytes()
+
+
+def check_hubs(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """``pairs`` (hub, node) plus ``linked``, measured exactly, and the node's ``bits`` and ``extra`` (``against_hub``)."""
+    left = texts.select(F.col("node").alias("hub"), F.col("text").alias("hub_text"))
 
     def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, held = None, None
-        for batch in batches:
-            keep = []
-            for i in range(batch.num_rows):
-                a = batch.column(0)[i].as_py()
-                if a != last:
-                    s, w, _ = weighted_shingles([batch.column(2)[i].as_py()], words)
-                    last, held = a, (s, w)
-                s, w, _ = weighted_shingles([batch.column(3)[i].as_py()], words)
-                keep.append(weighted_jaccard(*held, s, w) >= similarity)
-            yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        for whole in batches:
+            for begin in range(0, whole.num_rows, 500):
+                batch = whole.slice(begin, 500)
+                linked, bits, extra = [], [], []
+                for name, hub_text, text in zip(*(batch.column(i) for i in (0, 2, 3)), strict=True):
+                    if name.as_py() != last:
+                        last, held = name.as_py(), weighted_shingles([hub_text.as_py()], words)[:2]
+                    found = against_hub(held, weighted_shingles([text.as_py()], words)[:2])
+                    linked.append(found[0] >= similarity)
+                    bits.append(found[1])
+                    extra.append(found[2])
+                columns = [pa.array(linked, pa.bool_()), pa.array(bits, pa.binary()), pa.array(extra, pa.binary())]
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns[:2], *columns], names=["hub", "node", "linked", "bits", "extra"]
+                )
+
+    met = pairs.join(texts, "node").join(left, "hub").select("hub", "node", "hub_text", "text")
+    return met.mapInArrow(checked, "hub binary, node binary, linked boolean, bits binary, extra binary")
+
+
+def shared_units(a: pd.DataFrame, b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Units shared by every row of ``a`` with every row of ``b``, and the units of each; products of 0/1 matrices."""
+
+    def unpacked(rows: pd.DataFrame) -> np.ndarray:
+        return np.unpackbits(np.stack([np.frombuffer(x, dtype=np.uint8) for x in rows["bits"]]), axis=1).astype(np.float32)
+
+    bits_a, bits_b = unpacked(a), unpacked(b)
+    shared = bits_a @ bits_b.T
+    extra_a, extra_b = ([np.frombuffer(x, dtype=np.uint64) for x in rows["extra"]] for rows in (a, b))
+    sizes_a, sizes_b = (np.array([len(x) for x in extra]) for extra in (extra_a, extra_b))
+    flat_a, flat_b = np.concatenate(extra_a), np.concatenate(extra_b)
+    both = np.intersect1d(flat_a, flat_b)
+    at_a, at_b = np.searchsorted(both, flat_a), np.searchsorted(both, flat_b)
+    row_a, row_b = np.repeat(np.arange(len(a)), sizes_a), np.repeat(np.arange(len(b)), sizes_b)
+    if len(both):
+        hit_a = both[np.minimum(at_a, len(both) - 1)] == flat_a
+        hit_b = both[np.minimum(at_b, len(both) - 1)] == flat_b
+        for begin in range(0, len(both), BLOCK_COLUMNS):
+            parts = []
+            for n, at, row, hit in ((len(a), at_a, row_a, hit_a), (len(b), at_b, row_b, hit_b)):
+                here = hit & (at >= begin) & (at < begin + BLOCK_COLUMNS)
+                part = np.zeros((n, min(BLOCK_COLUMNS, len(both) - begin)), dtype=np.float32)
+                part[row[here], at[here] - begin] = 1
+                parts.append(part)
+            shared += parts[0] @ parts[1].T
+    return shared.astype(np.float64), bits_a.sum(axis=1) + sizes_a, bits_b.sum(axis=1) + sizes_b
+
+
+def link_block(a: pd.DataFrame, b: pd.DataFrame, similarity: float) -> list[tuple[bytes, bytes]]:
+    """Links between the roots of two blocks of one hub's members, at most one per row: a forest of what is linked."""
+    shared, size_a, size_b = shared_units(a, b)
+    total = size_a[:, None] + size_b[None, :] - shared
+    linked = np.where(total > 0, shared / np.maximum(total, 1), 1.0) >= similarity
+    names, codes = np.unique(np.array([*a["root"], *b["root"]], dtype=object), return_inverse=True)
+    own_a, own_b = codes[: len(a)], codes[len(a) :]
+    label_a, label_b = own_a.copy(), own_b.copy()
+    above = len(names)
+    while True:
+        new_a = np.minimum(label_a, np.where(linked, label_b[None, :], above).min(axis=1))
+        new_b = np.minimum(label_b, np.where(linked, new_a[:, None], above).min(axis=0))
+        if (new_a == label_a).all() and (new_b == label_b).all():
+            break
+        label_a, label_b = new_a, new_b
+    pairs = {(o, n) for o, n in zip([*own_a, *own_b], [*label_a, *label_b], strict=True) if o != n}
+    return [(names[o], names[n]) for o, n in pairs]
+
+
+def link_members(stars: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) between roots that are found among the members of each hub.
+
+    ``stars`` are the checked pairs. Members outside the largest component of a hub's members are compared with all of them, in
+    blocks: a task holds two blocks, and a hub with very many members is many tasks. Only links between
+    components leave a task, at most one per row.
+    """
+    members = relabelled(stars.withColumn("root", F.col("node")), roots, "root")
+    sizes = members.groupBy("hub", "root").agg(F.count(F.lit(1)).alias("n"), F.max(F.octet_length("bits")).alias("bytes"))
+    groups = (
+        sizes.groupBy("hub")
+        .agg(
+            F.max(F.struct("n", "root")).alias("main"),
+            F.sum("n").alias("members"),
+            F.max("bytes").alias("bytes"),
+            F.count(F.lit(1)).alias("roots"),
+        )
+        .where("roots > 1")
+    )
+    rows = F.greatest(F.lit(64), F.least(F.lit(BLOCK_ROWS), F.lit(BLOCK_UNITS) / (F.col("bytes") * 8 + 1)))
+    groups = written(
+        groups.select(
+            "hub",
+            F.col("main.root").alias("main"),
+            F.ceil((F.col("members") - F.col("main.n")) / rows).cast("bigint").alias("outer"),
+            F.ceil(F.col("members") / rows).cast("bigint").alias("inner"),
+        ),
+        "groups",
+    )
+    zero = F.lit(0).cast("bigint")
+    met = members.join(groups, "hub")
+    own = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
+    every = lambda n: F.explode(F.sequence(zero, F.col(n) - 1))
+    left = met.where(F.col("root") != F.col("main")).select(
+        "hub", own("outer").alias("i"), every("inner").alias("j"), "root", "bits", "extra"
+    )
+    right = met.select(
+        F.col("hub").alias("hub2"),
+        every("outer").alias("i2"),
+        own("inner").alias("j2"),
+        F.col("root").alias("root2"),
+        F.col("bits").alias("bits2"),
+        F.col("extra").alias("extra2"),
+    )
+
+    def search(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        b = b.rename(columns={"root2": "root", "bits2": "bits", "extra2": "extra"})
+        links = link_block(a, b, similarity) if len(a) and len(b) else []
+        return pd.DataFrame(links, columns=["a", "b"])
 
-    met = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
-    return met.mapInArrow(checked, "a binary, b binary")
+    return left.groupBy("hub", "i", "j").cogroup(right.groupBy("hub2", "i2", "j2")).applyInPandas(search, "a binary, b binary")
 
 
 def rooted_documents(
@@ -107,55 +248,24 @@ def rooted_documents(
     entries = signed.groupBy("node").agg(F.first("bands").alias("bands")).select(
         "node", F.explode("bands").alias("bucket")
     )
-    crowded = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("hub"))
-    active = cut_lineage(entries.join(crowded.where("n > 1").select("bucket"), "bucket"))
-    nodes = active.select("node").distinct()
+    crowded = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    met = written(entries.join(crowded, "bucket"), "met")
+    pulls = met.groupBy("node").agg(F.sum("n").alias("pull"))
+    active = written(met.join(pulls, "node").select("bucket", "node", "pull"), "buckets")
     text_path = scratch_path(spark, "texts")
     plain = F.coalesce(F.col(text_column), F.lit(""))
     documents.select(F.unhex(F.md5(plain)).alias("node"), plain.alias("text")).join(
-        nodes, "node", "left_semi"
+        active.select("node").distinct(), "node", "left_semi"
     ).dropDuplicates(["node"]).write.parquet(text_path)
     texts = spark.read.parquet(text_path)
 
-    links = refused = roots = None
-    active, hubs = active.withColumn("root", F.col("node")), 1
-    while not active.isEmpty():
-        if hubs == 1:
-            chosen = active.groupBy("bucket").agg(F.min(F.struct("node", "root")).alias("h")).select(
-                "bucket", F.col("h.node").alias("hub"), F.col("h.root").alias("hub_root")
-            )
-        else:
-            first = Window.partitionBy("bucket").orderBy("node")
-            chosen = (
-                active.withColumn("__k", F.row_number().over(first))
-                .where(F.col("__k") <= hubs)
-                .select("bucket", F.col("node").alias("hub"), F.col("root").alias("hub_root"))
-            )
-        chosen = cut_lineage(chosen)
-        pairs = (
-            active.join(chosen, "bucket")
-            .where(F.col("root") != F.col("hub_root"))
-            .select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b"))
-            .distinct()
-        )
-        if refused is not None:
-            pairs = pairs.join(refused, ["a", "b"], "left_anti")
-        pairs = cut_lineage(pairs)
-        found = cut_lineage(check_pairs(pairs, texts, words, similarity))
-        missed = pairs.join(found, ["a", "b"], "left_anti")
-        refused = missed if refused is None else refused.unionByName(missed)
-        refused = cut_lineage(refused)
-        links = found if links is None else cut_lineage(links.unionByName(found))
-        roots = component_roots(links)
-        left = active.join(chosen, (active["bucket"] == chosen["bucket"]) & (active["node"] == chosen["hub"]), "left_anti")
-        left = left.drop("root").join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
-        left = cut_lineage(left)
-        mixed = left.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
-        active = cut_lineage(left.join(mixed.select("bucket"), "bucket"))
-        hubs *= 2
-
-    if roots is None:
-        return signed.select("id", "node", F.col("node").alias("root"))
+    most = active.groupBy("bucket").agg(F.max(F.struct("pull", "node")).alias("h"))
+    hubs = most.select("bucket", F.col("h.node").alias("hub"))
+    pairs = active.join(hubs, "bucket").where(F.col("node") != F.col("hub")).select("hub", "node").distinct()
+    stars = written(check_hubs(pairs, texts, words, similarity), "stars")
+    roots = component_roots(stars.where("linked").select(F.col("hub").alias("a"), F.col("node").alias("b")))
+    more = component_roots(written(link_members(stars, roots, similarity), "more"))
+    roots = written(relabelled(roots, more, "root").unionByName(more), "roots")
     return signed.select("id", "node").join(roots, "node", "left").select(
         "id", "node", F.coalesce("root", "node").alias("root")
     )
@@ -177,10 +287,11 @@ def near_duplicate_classes(
     classes are the connected components. A pair at similarity s shares no band with
     probability (1 - s^band_rows)^bands: 2.6e-5 at 0.8 by default.
 
-    Equal texts fold into one node first. Within a bucket of a band not all pairs are made: the
-    members are checked against a hub, linked ones become one component, and only buckets that
-    still hold two components go on, with twice as many hubs, until every pair
-    has been checked or lies in one component. So a bucket of n near copies costs n checks.
+    Equal texts fold into one node first. Within a bucket of a band not all pairs are made. Its hub, the member that shares most
+    buckets with other texts (an original shares more with its edited copies than they do among themselves), is checked
+    against the others. That check leaves a short exact description of each member relative to the hub, with which the
+    members that the hub does not link are compared with all members in blocks (``link_members``). So every pair of a
+    bucket is checked or lies in one component, and a bucket of n near copies costs n checks of texts.
 
     Defined cases: a null text is an empty one; texts without words are copies of each other; a text of fewer than ``words``
     words is one shingle; rows without an id belong to a class but never name it (``class_id`` is null if

@@ -6,7 +6,10 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
+import pytest
 from odd import no_documents, odd_documents, odd_rows
+from pyspark.sql import functions as F
 
 from tabstudy.llm import darts, neardup
 from tabstudy.llm.components import component_roots
@@ -119,21 +122,37 @@ def test_planted_copies(spark):
     assert all(c <= d for d, c in got.items())
 
 
-def test_bucket_with_several_components(spark, monkeypatch):
-    """With one coordinate of one row everything meets in few buckets: later rounds must find all links."""
-    texts = [" ".join(f"t{k}x{i}" for i in range(40)) + f" tail{j}" for k in range(6) for j in range(4)]
+def test_shared_units_are_exact():
+    """Similarities of members read off their descriptions relative to a third text."""
+    random.seed(12)
+    texts = [" ".join(random.choice("ab c d e f g h".split()) + str(random.randrange(3)) for _ in range(n)) for n in (60, 50, 40, 70)]
+    texts += [texts[0] + " x y z x y z", texts[0] + " x y z u", "", "a b"]
+    for hub in texts:
+        held = neardup.weighted_shingles([hub])[:2]
+        rows = [neardup.against_hub(held, neardup.weighted_shingles([t])[:2]) for t in texts]
+        frame = pd.DataFrame(rows, columns=["similarity", "bits", "extra"])
+        shared, left, right = neardup.shared_units(frame, frame)
+        for i, a in enumerate(texts):
+            for j, b in enumerate(texts):
+                assert shared[i, j] == sum((shingles(a) & shingles(b)).values())
+            assert left[i] == right[i] == sum(shingles(a).values())
+
+
+@pytest.mark.parametrize("rows", [64, 1024])
+def test_bucket_with_several_components(spark, monkeypatch, rows):
+    """One bucket holds everything: what its hub does not link must be found among the members."""
+    texts = [" ".join(f"t{k}x{i}" for i in range(40)) + f" tail{j}" for k in range(40) for j in range(4)]
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    monkeypatch.setattr(neardup, "band_keys", lambda t, *_: np.ones((len(t), 1), dtype=np.uint64))
-    signed = neardup.sign_documents
 
     def one_bucket(documents, id_column, text_column, *rest):
-        from pyspark.sql import functions as F
-
-        return signed(documents, id_column, text_column, *rest).withColumn("bands", F.array(F.lit(1).cast("bigint")))
+        return documents.select(
+            F.col(id_column).alias("id"), F.unhex(F.md5(text_column)).alias("node"), F.array(F.lit(1)).alias("bands")
+        )
 
     monkeypatch.setattr(neardup, "sign_documents", one_bucket)
+    monkeypatch.setattr(neardup, "BLOCK_ROWS", rows)
     got = {r["doc_id"]: r["class_id"] for r in neardup.near_duplicate_classes(frame).collect()}
-    assert got == {i: i // 4 * 4 for i in range(24)}
+    assert got == {i: i // 4 * 4 for i in range(160)}
 
 
 def test_odd_documents(spark):
