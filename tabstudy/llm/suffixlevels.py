@@ -332,9 +332,10 @@ def repeated_spans(
                 )
 
     piece_path = scratch_path(spark, "pieces")
+    # one row of each text, so that a gram has at most ``crowd`` pieces; that a text has copies is known from ``runs``
     texts = documents.select(
         text_node(F.col(text_column)).alias("node"), F.coalesce(F.col(text_column), F.lit("")).alias("text")
-    )
+    ).dropDuplicates(["node"])
     texts.join(wanted, F.col("node") == F.col("__node")).select("node", "text", "wanted").mapInArrow(
         cut, "gram bigint, node binary, start int, covered boolean, crowd bigint, bytes binary"
     ).write.parquet(piece_path)

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 from odd import no_documents, odd_documents, odd_rows
+from pyspark.sql import functions as F
 
 from tabstudy.llm import anchors, suffixlevels
 from tabstudy.llm.queries import op3_suffixes, table
@@ -100,6 +101,25 @@ def test_planted_passages(spark, batches, crowd):
     assert got == sorted((str(i), *e) for i, e in enumerate(expected(texts)))
 
 
+def test_copies_give_one_piece(spark, monkeypatch):
+    """A text held by many rows is compared once per gram, and the result stays exact."""
+    base = planted()[12]
+    edited = base[:150] + "#" + base[150:]
+    texts = [base] * 40 + [edited]
+    crowds = []
+    compare = suffixlevels._compare_groups
+
+    def watched(pieces, length):
+        crowds.extend(pieces.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.max("crowd").alias("crowd")).collect())
+        return compare(pieces, length)
+
+    monkeypatch.setattr(suffixlevels, "_compare_groups", watched)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = plain(suffixlevels.remove_repeats(frame))
+    assert crowds and all(r["n"] <= r["crowd"] for r in crowds)
+    assert got == sorted((str(i), *e) for i, e in enumerate(expected(texts)))
+
+
 def test_levels_merge_geometrically(spark):
     family = suffixlevels.SuffixLevels(spark)
     sizes = []
