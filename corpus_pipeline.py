@@ -13,6 +13,8 @@ from tabstudy.llm import bpe, lines, mixing, neardup, quality
 from tabstudy.llm.queries import RANKS_FILE, table
 from tabstudy.session import scratch_path
 
+MIX_BUDGET = 0.6  # share of the tokens that mixing keeps in expectation, whatever the rarest source
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the classifier accepts. It learns from the labelled rows of ``sf_dir`` alone."""
@@ -35,7 +37,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample whose tokens follow the target weights of source, language and topic."""
-    return mixing.mix_sources(docs).where("mix_kept").select(*docs.columns)
+    return mixing.mix_sources(docs, budget=MIX_BUDGET).where("mix_kept").select(*docs.columns)
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

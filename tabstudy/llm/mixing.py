@@ -79,6 +79,55 @@ def rake(
     return fitted.drop(*[f"__t_{m}" for m in margins])
 
 
+def scaled_within(cells: DataFrame, group: Sequence[str], target: Column, order: Sequence[str]) -> DataFrame:
+    """Scale ``weight`` by one factor per group so that min(weight, cell_tokens) sums to ``target``.
+
+    Cells are taken in the order of the factor that fills them: those filled by less than the factor
+    sought are full, the others share what is left. A group that holds less than its target is filled.
+    Groups without a target or without weight keep their weights.
+    """
+    weight, within = F.col("weight"), Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
+    room = F.when(weight > 0, F.col("cell_tokens")).otherwise(0.0)
+    cells = cells.withColumn("__need", F.when(weight > 0, F.col("cell_tokens") / weight))
+    key = ["__need", *order]
+    before = within.orderBy(*key).rowsBetween(Window.unboundedPreceding, 0)
+    after = within.orderBy(*[F.desc(k) for k in key]).rowsBetween(Window.unboundedPreceding, -1)
+    reached = F.sum(room).over(before) + F.col("__need") * F.coalesce(F.sum(weight).over(after), F.lit(0.0))
+    cells = cells.withColumn("__full", F.coalesce(reached <= target, F.lit(False)))
+    taken = F.sum(F.when(F.col("__full"), room).otherwise(0.0)).over(within)
+    rest = F.sum(F.when(F.col("__full"), 0.0).otherwise(weight)).over(within)
+    factor = F.when(rest > 0, (target - taken) / rest).otherwise(F.max("__need").over(within))
+    return cells.withColumn("weight", weight * F.coalesce(factor, F.lit(1.0))).drop("__need", "__full")
+
+
+def rake_within(
+    cells: DataFrame, margins: Sequence[str], targets: dict[str, DataFrame], budget: float, sweeps: int = SWEEPS
+) -> DataFrame:
+    """Raking to ``budget`` times all tokens where no cell's weight passes its tokens.
+
+    A value whose target is more than it has is taken whole and the others share the difference by their
+    targets. Factors act on unbounded weights, so a cell that was full can leave its bound again. At the
+    end all weights get one factor that meets the budget, also if the bounded margins contradict each other.
+    """
+    fitted = cells.withColumn("weight", F.col("cell_tokens"))
+    aim = cells.agg((F.sum("cell_tokens") * budget).alias("__aim"))  # one row
+    for margin in margins:
+        have = cells.groupBy(F.col(margin).alias("__have")).agg(F.sum("cell_tokens").alias("cell_tokens"))
+        wished = have.join(targets[margin], F.col("__have").eqNullSafe(F.col("__value"))).crossJoin(aim)
+        wished = wished.select("__have", "cell_tokens", F.col("__target").cast("double").alias("weight"), "__aim")
+        reached = scaled_within(wished, [], F.col("__aim"), ["__have"]).select(
+            "__have", F.least("weight", "cell_tokens").alias(f"__t_{margin}")
+        )
+        fitted = fitted.join(reached, F.col(margin).eqNullSafe(F.col("__have")), "left").drop("__have")
+    fitted = cut_lineage(fitted.crossJoin(aim))
+    for _ in range(sweeps):
+        for margin in margins:
+            fitted = scaled_within(fitted, [margin], F.col(f"__t_{margin}"), margins)
+        fitted = cut_lineage(fitted)
+    fitted = scaled_within(fitted, [], F.col("__aim"), margins)
+    return fitted.withColumn("weight", F.least("weight", "cell_tokens")).drop("__aim", *[f"__t_{m}" for m in margins])
+
+
 def mix_sources(
     documents: DataFrame,
     margins: dict[str, Column] | None = None,
@@ -88,6 +137,7 @@ def mix_sources(
     targets: dict[str, DataFrame] | None = None,
     tokens: Column | None = None,
     key: Sequence[str] = ("doc_id",),
+    budget: float | None = None,
 ) -> DataFrame:
     """Sample documents so that tokens follow the target margins of source, language and topic.
 
@@ -95,7 +145,9 @@ def mix_sources(
     and ``mix_kept``. ``targets`` maps a margin to a table (``__value``, ``__target`` weight);
     without it shares are tempered. A document's probability is its cell's raked weight over its
     tokens, divided by the largest such ratio, so no probability is capped and expected token
-    shares are the raked ones. Each document is drawn by a hash of its ``key`` columns.
+    shares are the raked ones; the rarest cell alone then sets how much is kept. With ``budget``, the share of all
+    tokens that is kept in expectation, probabilities are bounded by 1 instead: a scarce value is taken
+    whole and the rest is raked to the targets. Each document is drawn by a hash of its ``key`` columns.
 
     A third of all rows in one source is one row per task after the first aggregation. The join of the cells
     is a join on statistics that Spark broadcasts below its threshold and splits above it.
@@ -104,6 +156,8 @@ def mix_sources(
     0/0 and are kept with probability 1; an empty table gives an empty table; repeated keys share their draw;
     extra columns pass through, those named like an output are replaced.
     """
+    if budget is not None and not 0 < budget <= 1:
+        raise ValueError("budget is a share of the tokens, above 0 and at most 1")
     if margins is None:
         margins = {"source": F.col("source"), "lang": F.col("lang"), "topic": text_topic(F.col("text"))}
     names = [f"mix_{m}" for m in margins]
@@ -118,11 +172,12 @@ def mix_sources(
         n: (targets[m] if targets and m in targets else margin_targets(cells, n, temper))
         for n, m in zip(names, margins, strict=True)
     }
-    raked = rake(cells, names, wanted, sweeps).withColumn(
+    fitted = rake(cells, names, wanted, sweeps) if budget is None else rake_within(cells, names, wanted, budget, sweeps)
+    raked = fitted.withColumn(
         "__ratio", F.when(F.col("cell_tokens") > 0, F.col("weight") / F.col("cell_tokens"))
     )
     raked = cut_lineage(raked)
-    most = raked.agg(F.max("__ratio")).first()[0]  # one number
+    most = raked.agg(F.max("__ratio")).first()[0] if budget is None else 1.0  # one number
     odds = raked.select(
         *[F.col(n).alias(f"__{n}") for n in names],
         F.coalesce(F.col("__ratio") / F.lit(most), F.lit(1.0)).alias("mix_probability"),
