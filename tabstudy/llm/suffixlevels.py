@@ -1,11 +1,11 @@
 """Exact removal of repeated byte strings with a logarithmic family of sampled suffix arrays.
 
 Suffixes are sampled by content (``anchors``), so a repeat of ``LENGTH`` bytes holds a sampled suffix at the same
-offset in all its copies. A suffix array is a table of distinct entries in the order of their suffixes' first bytes:
+offset in all its copies. No true suffix array is built: what stands for it here is a hash index of distinct entries
 (head, gram, run) with ``gram`` the hash of the suffix's first 64 bytes and ``run`` that of all bytes the entry's windows
-cover. Each new batch gets its suffix array, is merge-scanned against every level for long matches, and becomes a level;
-levels of equal size are merged, so that m batches leave at most log2(m) + 1 levels and each entry is rewritten
-as many times at most.
+cover, as equal hashes are all that exact repeats need. Each new batch gets its index, is joined with every level by
+these hashes, and becomes a level; levels of equal size are merged by grouping, so that m batches leave at most log2(m) + 1 levels
+and each entry is rewritten as many times at most.
 
 A scan finds runs that occur twice, whose windows are all repeats, and grams that begin different runs. For
 these few the bytes are fetched and compared window by window.
