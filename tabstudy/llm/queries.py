@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tabstudy.llm import bpe, hashforest, htmltext, lines, mixing, neardup, ordermin, quality, suffixlevels, warc
+from tabstudy.llm import bpe, hashforest, htmltext, lines, merkle, mixing, neardup, ordermin, quality, suffixlevels, warc
 from tabstudy.session import cut_lineage, scratch_path
 
 RANKS_FILE = "byte_bpe_50k.tiktoken"
@@ -112,6 +112,24 @@ def op10_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    """Manifest of the documents, and every row's check against it after line ends were deleted from half of them."""
+    documents = table(spark, folder, "documents")
+    told = ["doc_id", "source", "lang", "n_chars"]
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    text = F.when(even, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    found = merkle.leaf_digest(*[F.col(c) for c in told], text)
+    manifest = merkle.build_manifest(documents, [*told, "text"], carried={"found": found})
+    return manifest.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2("siblings", 256).alias("proof_sha256"),
+        merkle.folded("found", "siblings", "places").alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_dartminhash": op2_dartminhash,
@@ -123,4 +141,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_quality": op9_quality,
     "op10_lines": op10_lines,
+    "op11_merkle": op11_merkle,
 }
