@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tabstudy.llm import bpe, hashforest, htmltext, lines, merkle, mixing, neardup, ordermin, quality, suffixlevels, warc
+from tabstudy.llm import bpe, hashforest, htmltext, lines, merkle, mixing, neardup, ordermin, quality, repetitions, suffixlevels, warc
 from tabstudy.session import cut_lineage, scratch_path
 
 RANKS_FILE = "byte_bpe_50k.tiktoken"
@@ -130,6 +131,47 @@ def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def with_planted_tail(text: str, mark: str) -> Column:
+    """The words from the ``a``-th on made to repeat the first ``p`` of them, as the query's contract words it for ``mark``."""
+
+    @F.arrow_udf("string")
+    def plant(texts: pa.Array, marks: pa.Array) -> pa.Array:
+        out = []
+        for t, h in zip(texts.to_pylist(), marks.to_pylist(), strict=True):
+            words = (t or "").encode("utf-8", "surrogatepass").split()
+            if not words or h is None or h % 10:
+                out.append(t)
+                continue
+            n, g = len(words), h // 10
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            out.append(b" ".join(words[:a] + [words[a + i % p] for i in range(n - a)]).decode("utf-8", "surrogatepass"))
+        return pa.array(out, pa.string())
+
+    # only the texts that change go to the function
+    changed = F.pmod(mark, F.lit(10)) == 0
+    return F.coalesce(plant(F.when(changed, F.col(text)), mark), F.col(text))
+
+
+def op12_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of every document, the longest of them, and digests of all runs and of the text without repeats."""
+    documents = table(spark, folder, "documents")
+    marked = documents.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("mark"))
+    planted = marked.select("doc_id", with_planted_tail("text", "mark").alias("text"))
+    found = repetitions.find_runs(planted, with_text=False)
+    ranked = F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"]))
+    return found.withColumn("most", F.array_max(ranked)).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        (-F.col("most.col2")).alias("start"),
+        F.col("most.length").alias("length"),
+        (-F.col("most.col3")).alias("period"),
+        F.expr("1000 * most.length div -most.col3").alias("exponent_milli"),
+        "runs_sha256",
+        "collapsed_sha256",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_dartminhash": op2_dartminhash,
@@ -142,4 +184,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_lines": op10_lines,
     "op11_merkle": op11_merkle,
+    "op12_runs": op12_runs,
 }
