@@ -8,7 +8,21 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tabstudy.llm import bpe, hashforest, htmltext, lines, merkle, mixing, neardup, ordermin, quality, repetitions, suffixlevels, warc
+from tabstudy.llm import (
+    bpe,
+    hashforest,
+    htmltext,
+    lines,
+    merkle,
+    mixing,
+    neardup,
+    ordermin,
+    quality,
+    repetitions,
+    secretscan,
+    suffixlevels,
+    warc,
+)
 from tabstudy.session import cut_lineage, scratch_path
 
 RANKS_FILE = "byte_bpe_50k.tiktoken"
@@ -172,6 +186,22 @@ def op12_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Spans of secrets in every document, by patterns and by randomness."""
+
+    def many(kind: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
+
+    return secretscan.find_secrets(table(spark, folder, "documents")).select(
+        "doc_id",
+        many(0).alias("n_assign"),
+        many(1).alias("n_access"),
+        many(2).alias("n_hex"),
+        "base_sha256",
+        "spans",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_dartminhash": op2_dartminhash,
@@ -185,4 +215,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_lines": op10_lines,
     "op11_merkle": op11_merkle,
     "op12_runs": op12_runs,
+    "op13_secrets": op13_secrets,
 }
