@@ -20,7 +20,6 @@ from tabstudy.session import scratch_path
 
 FANOUT = 3
 BLOCK_LEVELS = 6
-BLOCK = FANOUT**BLOCK_LEVELS
 DIGEST_CHARS = 64
 
 
@@ -146,13 +145,14 @@ def _placed(rows: DataFrame, order: Sequence[str]) -> DataFrame:
     return met.withColumn("pos", F.col("seq") + F.col("shift")).drop("seq", "part", "s_part", "s_grp", "shift")
 
 
-def _appended(nodes: DataFrame) -> DataFrame:
+def _appended(nodes: DataFrame, levels: int) -> DataFrame:
     """One round: nodes (gid, pos, total, digest, …) with ``block``, ``siblings``, ``places`` up to the block's root.
 
     ``top`` is the root of the block in its first row and null in the others. Blocks are whole in one task,
     which holds one block at a time.
     """
-    dealt = nodes.withColumn("block", F.floor(F.col("pos") / BLOCK)).repartition("gid", "block")
+    size = FANOUT**levels
+    dealt = nodes.withColumn("block", F.expr(f"pos div {size}")).repartition("gid", "block")
     names = [*dealt.columns, "siblings", "places", "top"]
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in dealt.schema])
     for name in names[-3:]:
@@ -166,7 +166,7 @@ def _appended(nodes: DataFrame) -> DataFrame:
             tree = WitnessedTree()
             for row in held:
                 tree.append(row["digest"])
-            top = tree.finish(None if held[0]["total"] <= BLOCK else BLOCK_LEVELS)
+            top = tree.finish(None if held[0]["total"] <= size else levels)
             columns = {c: [row[c] for row in held] for c in kept}
             columns["siblings"] = ["".join(s) for s in tree.siblings]
             columns["places"] = ["".join(p) for p in tree.places]
@@ -188,19 +188,20 @@ def _appended(nodes: DataFrame) -> DataFrame:
     return _stored(dealt.sortWithinPartitions("gid", "block", "pos").mapInArrow(append, schema), "merkle-blocks")
 
 
-def _rounds(nodes: DataFrame) -> list[DataFrame]:
-    """Rounds until every group is a single node. Each is 1/``BLOCK`` of the one before."""
-    rounds = [_appended(nodes)]
-    while not rounds[-1].where(F.col("total") > BLOCK).isEmpty():
-        rounds.append(_appended(_tops(rounds[-1])))
+def _rounds(nodes: DataFrame, levels: int) -> list[DataFrame]:
+    """Rounds until every group is a single node. Each has one row per block of the one before."""
+    rounds = [_appended(nodes, levels)]
+    while not rounds[-1].where(F.col("total") > FANOUT**levels).isEmpty():
+        rounds.append(_appended(_tops(rounds[-1], levels), levels))
     return rounds
 
 
-def _tops(done: DataFrame) -> DataFrame:
+def _tops(done: DataFrame, levels: int) -> DataFrame:
+    size = FANOUT**levels
     return done.where(F.col("top").isNotNull()).select(
         "gid",
         F.col("block").alias("pos"),
-        F.ceil(F.col("total") / BLOCK).alias("total"),
+        F.expr(f"(total + {size - 1}) div {size}").alias("total"),
         F.col("top").alias("digest"),
     )
 
@@ -208,7 +209,7 @@ def _tops(done: DataFrame) -> DataFrame:
 def _continued(rounds: list[DataFrame], above: DataFrame | None = None) -> DataFrame:
     """Witnesses of the first round's nodes up to their group's root, and on with those of ``above``.
 
-    ``above`` has one row (gid, pos 0, siblings, places, subroot) per group. A block's root meets at most ``BLOCK`` rows.
+    ``above`` has one row (gid, pos 0, siblings, places, subroot) per group. A block's root meets the rows of its block.
     """
     for done in reversed(rounds):
         if above is not None:
@@ -235,6 +236,7 @@ def build_manifest(
     group: str = "source",
     order: str = "doc_id",
     carried: Mapping[str, Column] | None = None,
+    block_levels: int = BLOCK_LEVELS,
 ) -> DataFrame:
     """Per row: ``order``, ``group``, ``carried`` columns, ``leaf``, ``subroot``, ``root``, ``siblings``, ``places``.
 
@@ -257,10 +259,10 @@ def build_manifest(
         leaf_digest(*[F.col(c) for c in columns]).alias("digest"),
         *[c.alias(f"c_{name}") for name, c in carried.items()],
     )
-    rounds = _rounds(_placed(_stored(leaves, "merkle-leaves"), ["ord", "digest"]))
-    subroots = _tops(rounds[-1]).select(F.lit("").alias("grp"), F.col("gid").alias("ord"), "digest")
-    crown = _rounds(_placed(subroots, ["ord"]))
-    first = _tops(crown[-1]).first()
+    rounds = _rounds(_placed(_stored(leaves, "merkle-leaves"), ["ord", "digest"]), block_levels)
+    subroots = _tops(rounds[-1], block_levels).select(F.lit("").alias("grp"), F.col("gid").alias("ord"), "digest")
+    crown = _rounds(_placed(subroots, ["ord"]), block_levels)
+    first = _tops(crown[-1], block_levels).first()
     root = first["digest"] if first else None
     over = _continued(crown).select(
         F.col("ord").alias("gid"), F.lit(0).cast("bigint").alias("pos"), "siblings", "places", F.col("digest").alias("subroot")
