@@ -127,16 +127,16 @@ def test_planted_keys_are_told_from_ordinary_text(spark):
             text = f"{text} {key} é"
         rows.append((row["doc_id"], text))
     made = spark.createDataFrame(rows, "doc_id long, text string")
-    hits, long, false = 0, 0, 0
+    hits, false = Counter(), 0
     for r in secretscan.find_secrets(made).collect():
         found = {(s["start"], s["end"]) for s in r["random"]}
         key = keys.get(r["doc_id"])
-        if key and key[1] - key[0] >= 32:
-            long += 1
-            hits += key in found
+        if key:
+            hits[key[1] - key[0], key in found] += 1
         false += len(found - {key})
         assert all(f"random:{s}:{e}" in r["spans"].split(",") for s, e in found)
-    assert hits >= 0.95 * long and false <= 2
+    assert hits[64, False] == 0 and hits[48, False] <= 1 and hits[32, True] >= 3 * hits[32, False], hits
+    assert false <= 2 and hits[64, True] and hits[32, True]
 
 
 def test_query(spark):
