@@ -1,16 +1,20 @@
-"""Exact k nearest neighbours within one set of vectors, by an equi-join on cells.
-
-Copies of a vector are folded into one first, so a crowd of equal points costs one point.
-Pivots drawn from the set cut it into cells (nearest pivot). For every cell the distances
-already measured bound how far its k-th neighbour can be; by the triangle inequality only
-points within that reach of the cell's ball are sent to it. Each cell is then searched in
-pieces of bounded size and the pieces' best candidates are merged. The bound never drops a
-true neighbour, so the result is exact; it only decides how much is sent.
+"""Exact k nearest neighbours within one set of vectors, by equi-joins on the cells of a pivot tree.
+
+Copies of a vector are folded into one first, so a crowd of equal points costs one point. A cell with many points is cut
+by a few of them, drawn as pivots, and its points go to the nearest one; the children are cut again until they are
+small. All cells of a level are cut at once. Cells, pivots and what is known of them are tables; the driver
+only learns whether a level had a cell to cut.
+
+Points are first compared inside their leaf. That, or the points around the centres of the cells beside it, bounds how far the
+neighbours of a leaf's points can be. Every leaf then goes down the tree as one ball, and by the triangle inequality leaves
+out cells that lie beyond its reach; of the leaves it arrives at, the points within reach are sent to it. The bound never
+drops a true neighbour, so the result is exact; it only decides how much is sent. Where it prunes little, as for
+random directions in many dimensions, the work nears all pairs, split over tasks.
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -18,22 +22,29 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tabstudy.operators.keyed import hash_key
-from tabstudy.session import cut_lineage, small_table
+from tabstudy.session import cut_lineage, hold_small
 
-PIECE = 4096  # vectors of one role in one search task
+LEAF = 2048  # points of a cell that is not cut
+FAN = 32  # pivots that cut a cell
+LEVELS = 10  # a cell that is still large then is searched in pieces
+QUERIES = 512  # points that look for neighbours in one task
+CANDIDATES = 4096  # points they look at
+BALLS = 32  # leaves that points are sent to in one task
 BLOCK = 4_000_000  # distances held at once
-NEAR_CELLS = 64  # cells around a cell whose points bound its reach
 SLACK = 1e-9  # relative room for rounding in the bounds
 
 
-def nearest_neighbours(df: DataFrame, key: str, features: str, k: int, piece: int = PIECE) -> DataFrame:
+def nearest_neighbours(
+    df: DataFrame, key: str, features: str, k: int, leaf: int = LEAF, fan: int = FAN
+) -> DataFrame:
     """(id, rank, neighbour, dist2): the ``k`` nearest other rows of every row.
 
-    Squared Euclidean distance in double precision, equal distances by key, self excluded.
+    Squared Euclidean distance in double precision, equal distances by key, self excluded. Cells of more than
+    ``leaf`` distinct vectors are cut by ``fan`` pivots; neither changes the result.
     """
     rows = df.select(F.col(key).alias("id"), F.col(features).cast("array<double>").alias("x"))
     folded, members = _fold_copies(rows, k + 1)
-    near = _nearest_vectors(folded, k + 1, piece)
+    near = _nearest_vectors(folded.select("rep", "x"), k + 1, max(leaf, k + 1), fan)
     # ids behind the nearest vectors, best k + 1 of them per vector
     best = Window.partitionBy("rep").orderBy("dist2", "neighbour")
     lists = (
@@ -65,18 +76,9 @@ def _fold_copies(rows: DataFrame, keep: int) -> tuple[DataFrame, DataFrame]:
     return folded, members
 
 
-def _matrix(column: pa.Array | pa.ChunkedArray, n: int) -> np.ndarray:
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    return np.asarray(column.flatten()).reshape(n, -1)
-
-
-def _blocks(batches, pivots: int):
-    """Slices of at most ``BLOCK`` distances to the pivots."""
-    step = max(1, BLOCK // max(1, pivots))
-    for batch in batches:
-        for at in range(0, batch.num_rows, step):
-            yield batch.slice(at, step)
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    n = len(column)
+    return np.asarray(column.combine_chunks().flatten()).reshape(n, -1) if n else np.zeros((0, 0))
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -88,127 +90,208 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def _nearest_vectors(folded: DataFrame, want: int, piece: int) -> DataFrame:
+def _blocks(n: int, across: int) -> range:
+    """Starts of row slices with at most ``BLOCK`` distances each."""
+    return range(0, n, _rows(across))
+
+
+def _rows(across: int) -> int:
+    return max(1, BLOCK // max(1, across))
+
+
+def _meet(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    deal: tuple[str, str],
+    pieces: tuple[int, int],
+    work: Callable[[pa.Table, pa.Table], pa.Table],
+    schema: str,
+) -> DataFrame:
+    """``work`` on all rows of both sides that share ``key``, in tasks of about ``pieces`` rows of each side.
+
+    Rows are dealt to pieces by a hash of their ``deal`` column, and every piece of one side meets every piece of the other.
+    """
+    sizes = [df.groupBy(key).agg(F.count(F.lit(1)).alias(n)) for df, n in ((left, "__ln"), (right, "__rn"))]
+    counts = [F.ceil(F.col(n) / p).cast("int").alias(n) for n, p in zip(("__ln", "__rn"), pieces)]
+    parts = hold_small(sizes[0].join(sizes[1], key).select(key, *counts))
+
+    def dealt(df: DataFrame, column: str, own: str, other: str) -> DataFrame:
+        copies = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
+        mine = F.pmod(F.xxhash64(column), F.col(own)).cast("int")
+        names = {"__ln": "__lp", "__rn": "__rp"}
+        kept = [F.col(c).alias(c) for c in df.columns]  # columns of its own, as both sides may stem from one table
+        return df.join(parts, key).select(*kept, mine.alias(names[own]), copies.alias(names[other]))
+
+    groups = [key, "__lp", "__rp"]
+    one, two = dealt(left, deal[0], "__ln", "__rn"), dealt(right, deal[1], "__rn", "__ln")
+    return one.groupBy(*groups).cogroup(two.groupBy(*groups)).applyInArrow(work, schema)
+
+
+def _nearest_vectors(points: DataFrame, want: int, leaf: int, fan: int) -> DataFrame:
     """(rep, cand, dist2): the ``want`` nearest distinct vectors of each, itself included."""
-    spark = folded.sparkSession
-    n = folded.count()
-    wanted = max(1, math.isqrt(n))  # cells and pivots grow alike: about sqrt(n) points to a cell
-    drawn = folded.orderBy(hash_key(["rep"], "pivot")).limit(wanted).select("x").collect()
-    pivots = np.array([r["x"] for r in drawn], dtype=float)
-    reach, counts, radius = _cell_bounds(folded, pivots, want)
-
-    def roles(batches):
-        for batch in _blocks(batches, len(pivots)):
-            x = _matrix(batch.column("x"), batch.num_rows)
-            d = np.sqrt(_distances(x, pivots))
-            cell = d.argmin(axis=1)
-            seen = (d <= (radius + reach) * (1 + SLACK) + SLACK) & (counts > 0)
-            seen[np.arange(len(x)), cell] = True
-            who, where = np.nonzero(seen)
-            home = pa.array(np.arange(len(x)))
-            for role, index, cells in ((0, home, cell), (1, pa.array(who), where)):
-                part = batch.select(["rep", "x"]).take(index)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("rep"), part.column("x"), pa.array(cells.astype(np.int32)), pa.array(np.full(len(cells), role, np.int32))],
-                    names=["rep", "x", "cell", "role"],
-                )
-
-    rep_type = folded.schema["rep"].dataType.simpleString()
-    placed = folded.select("rep", "x").mapInArrow(roles, f"rep {rep_type}, x array<double>, cell int, role int")
-    sizes = placed.where("role = 1").groupBy("cell").count().collect()  # one row per cell
-    queries_in = {c: int(counts[c]) for c in range(len(pivots))}
-    plan = [
-        (int(r["cell"]), max(1, math.ceil(queries_in[r["cell"]] / piece)), max(1, math.ceil(r["count"] / piece)))
-        for r in sizes
-    ]
-    pieces = small_table(spark, plan, "cell int, q_parts int, c_parts int")
-    # a query meets every candidate piece of its cell, a candidate every query piece
-    is_query = F.col("role") == 0
-    other = F.explode(F.sequence(F.lit(0), F.when(is_query, F.col("c_parts")).otherwise(F.col("q_parts")) - 1))
-    own = F.pmod(F.xxhash64("rep"), F.when(is_query, F.col("q_parts")).otherwise(F.col("c_parts"))).cast("int")
-    blocks = (
-        placed.join(pieces, "cell")
-        .select("rep", "x", "cell", "role", own.alias("own"), other.alias("other"))
-        .select(
-            "rep",
-            "x",
-            "role",
+    placed, levels = _grow(points, want, leaf, fan)
+    near = _search(placed, placed.select("cell", F.col("rep").alias("cand"), "x"), want)
+    if levels:
+        near = cut_lineage(near)
+        sent = _sent(placed, _balls(placed, near, levels, want), levels)
+        near = near.unionByName(_search(placed, sent, want))
+    best = Window.partitionBy("rep").orderBy("dist2", "cand")
+    return near.withColumn("r", F.row_number().over(best)).where(F.col("r") <= want).drop("r")
+
+
+def _search(queries: DataFrame, candidates: DataFrame, want: int) -> DataFrame:
+    """(rep, cand, dist2): per query the ``want`` nearest candidates of its cell, from every piece of them."""
+    rep_type = queries.schema["rep"].dataType.simpleString()
+
+    def nearest(left: pa.Table, right: pa.Table) -> pa.Table:
+        right = right.sort_by("cand")  # equal distances stay in this order
+        a, b = _matrix(left["x"]), _matrix(right["x"])
+        take = min(want, len(b))
+        order, near = [], []
+        for at in _blocks(len(a), len(b)):
+            d = _distances(a[at : at + _rows(len(b))], b)
+            best = np.argsort(d, axis=1, kind="stable")[:, :take]
+            order.append(best.ravel())
+            near.append(np.take_along_axis(d, best, axis=1).ravel())
+        who = pa.array(np.repeat(np.arange(len(a)), take))
+        columns = [left["rep"].take(who), right["cand"].take(pa.array(np.concatenate(order)))]
+        return pa.table([*columns, pa.array(np.concatenate(near))], names=["rep", "cand", "dist2"])
+
+    schema = f"rep {rep_type}, cand {rep_type}, dist2 double"
+    return _meet(queries.select("cell", "rep", "x"), candidates, "cell", ("rep", "cand"), (QUERIES, CANDIDATES), nearest, schema)
+
+
+def _grow(points: DataFrame, want: int, leaf: int, fan: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Points (rep, x, cell) in their leaves, and per level its cells.
+
+    A level's cells have (parent, cell, centre, n, radius, near): ``near`` are the ``want`` smallest distances to
+    the centre, and cells are numbered so that a child's number tells its parent's.
+    """
+    rep_type = points.schema["rep"].dataType.simpleString()
+
+    def nearest_pivot(left: pa.Table, right: pa.Table) -> pa.Table:
+        right = right.sort_by("child")
+        x, pivots, child = _matrix(left["x"]), _matrix(right["centre"]), np.asarray(right["child"])
+        turn = np.asarray(left["turn"])
+        cell, own = np.empty(len(x), dtype=np.int64), np.empty(len(x))
+        for at in _blocks(len(x), len(pivots)):
+            d = _distances(x[at : at + _rows(len(pivots))], pivots)
+            rows = np.arange(len(d))
+            least = d == d.min(axis=1)[:, None]
+            # pivots at the same distance share the points, so that equidistant points are cut, too
+            pick = turn[at : at + len(d)] % least.sum(axis=1)
+            which = (least.cumsum(axis=1) == pick[:, None] + 1).argmax(axis=1)
+            cell[at : at + len(d)] = child[which]
+            own[at : at + len(d)] = np.sqrt(d[rows, which])
+        return pa.table([left["rep"], left["x"], pa.array(cell), pa.array(own)], names=["rep", "x", "cell", "d"])
+
+    placed = points.select("rep", "x", F.lit(0).cast("bigint").alias("cell"))
+    levels: list[DataFrame] = []
+    for level in range(LEVELS):
+        large = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > leaf).select("cell")
+        large = hold_small(large)
+        if large.isEmpty():
+            break
+        open_points = placed.join(large, "cell")
+        order = Window.partitionBy("cell").orderBy(hash_key(["rep"], f"pivot{level}"))  # limited before the shuffle
+        pivots = cut_lineage(
+            open_points.withColumn("r", F.row_number().over(order))
+            .where(F.col("r") <= fan)
+            .select("cell", (F.col("cell") * fan + F.col("r")).alias("child"), F.col("x").alias("centre"))
+        )
+        turn = F.pmod(F.xxhash64("rep", F.lit(level)), F.lit(1 << 20)).alias("turn")
+        cut = _meet(
+            open_points.select("cell", "rep", "x", turn),
+            pivots,
             "cell",
-            F.when(is_query, F.col("own")).otherwise(F.col("other")).alias("qp"),
-            F.when(is_query, F.col("other")).otherwise(F.col("own")).alias("cp"),
+            ("rep", "child"),
+            (CANDIDATES, fan),
+            nearest_pivot,
+            f"rep {rep_type}, x array<double>, cell bigint, d double",
         )
+        cut = cut_lineage(cut)
+        levels.append(cut_lineage(_described(cut, pivots, want)))
+        placed = cut_lineage(placed.join(large, "cell", "left_anti").unionByName(cut.drop("d")))
+    return placed, levels
+
+
+def _described(cut: DataFrame, pivots: DataFrame, want: int) -> DataFrame:
+    order = Window.partitionBy("cell").orderBy("d")
+    ranked = cut.select("cell", "d").withColumn("r", F.row_number().over(order)).where(F.col("r") <= want)
+    near = ranked.groupBy("cell").agg(F.array_sort(F.collect_list("d")).alias("near"))
+    totals = cut.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("d").alias("radius"))
+    centres = pivots.select(F.col("cell").alias("parent"), F.col("child").alias("cell"), "centre")
+    return centres.join(totals, "cell").join(near, "cell")
+
+
+def _balls(placed: DataFrame, near: DataFrame, levels: list[DataFrame], want: int) -> DataFrame:
+    """(ball, centre, bound) per leaf: no neighbour of its points is further from the centre than ``bound``."""
+    nodes = levels[0]
+    for level in levels[1:]:
+        nodes = nodes.unionByName(level)
+    parents = nodes.select(F.col("parent").alias("cell")).distinct()
+
+    def beside(cells: pd.DataFrame) -> pd.DataFrame:
+        """Points around the centres of a parent's cells, of which there are enough, bound the reach of each of them."""
+        centres = np.stack(cells["centre"].to_numpy())
+        between = np.sqrt(_distances(centres, centres))
+        reach = []
+        for row in between:
+            known = np.sort(np.concatenate([d + np.asarray(n) for d, n in zip(row, cells["near"])]))
+            reach.append(known[want - 1] if len(known) >= want else np.inf)
+        return pd.DataFrame({"cell": cells["cell"], "around": reach})
+
+    around = nodes.groupBy("parent").applyInPandas(beside, "cell bigint, around double")
+    order = Window.partitionBy("rep").orderBy("dist2", "cand")
+    last = near.withColumn("r", F.row_number().over(order)).where(F.col("r") == want)
+    inside = (
+        placed.join(last, "rep", "left")  # cells with too few points have none
+        .groupBy("cell")
+        .agg(F.max(F.coalesce(F.sqrt("dist2"), F.lit(float("inf")))).alias("inside"))
+    )
+    reach = F.least("inside", F.col("around") + F.col("radius"))
+    return cut_lineage(
+        nodes.join(parents, "cell", "left_anti")
+        .join(around, "cell")
+        .join(inside, "cell")
+        .select(F.col("cell").alias("ball"), "centre", (reach + F.col("radius")).alias("bound"))
     )
 
-    def search(block: pd.DataFrame) -> pd.DataFrame:
-        left = block[block["role"] == 0]
-        right = block[block["role"] == 1].sort_values("rep", kind="stable")
-        if left.empty or right.empty:
-            return pd.DataFrame({"rep": left["rep"][:0], "cand": left["rep"][:0], "dist2": np.zeros(0)})
-        names = right["rep"].to_numpy()
-        b = np.stack(right["x"].to_numpy()).astype(float)
-        take = min(want, len(b))
-        found = []
-        for at in range(0, len(left), 256):
-            some = left.iloc[at : at + 256]
-            d = _distances(np.stack(some["x"].to_numpy()).astype(float), b)
-            order = np.argsort(d, axis=1, kind="stable")[:, :take]  # equal distances stay by id
-            found.append(
-                pd.DataFrame(
-                    {
-                        "rep": np.repeat(some["rep"].to_numpy(), take),
-                        "cand": names[order].ravel(),
-                        "dist2": np.take_along_axis(d, order, axis=1).ravel(),
-                    }
-                )
-            )
-        return pd.concat(found)
-
-    partial = blocks.groupBy("cell", "qp", "cp").applyInPandas(
-        search, f"rep {rep_type}, cand {rep_type}, dist2 double"
+
+def _sent(placed: DataFrame, balls: DataFrame, levels: list[DataFrame]) -> DataFrame:
+    """(cell, cand, x): per leaf the points of other leaves within its bound."""
+    rep_type = placed.schema["rep"].dataType.simpleString()
+
+    def within(left: pa.Table, right: pa.Table) -> pa.Table:
+        """Children that a ball's bound touches."""
+        d = np.sqrt(_distances(_matrix(left["centre"]), _matrix(right["centre"])))
+        room = np.asarray(left["bound"])[:, None] + np.asarray(right["radius"])[None, :]
+        who, where = np.nonzero(d <= room * (1 + SLACK) + SLACK)
+        found = left.select(["ball", "centre", "bound"]).take(pa.array(who))
+        return found.append_column("cell", right["child"].take(pa.array(where)))
+
+    def reached(left: pa.Table, right: pa.Table) -> pa.Table:
+        d = np.sqrt(_distances(_matrix(left["x"]), _matrix(right["centre"])))
+        near = d <= np.asarray(right["bound"])[None, :] * (1 + SLACK) + SLACK
+        who, where = (pa.array(i) for i in np.nonzero(near & _other(left, right)))
+        return pa.table([right["ball"].take(where), left["rep"].take(who), left["x"].take(who)], names=["cell", "cand", "x"])
+
+    def _other(left: pa.Table, right: pa.Table) -> np.ndarray:
+        return np.asarray(left["cell"])[:, None] != np.asarray(right["ball"])[None, :]
+
+    at = balls.withColumn("cell", F.lit(0).cast("bigint"))
+    arrived = None
+    for level in levels:
+        children = level.select(F.col("parent").alias("cell"), F.col("cell").alias("child"), "centre", "radius")
+        step = _meet(
+            at, children, "cell", ("ball", "child"), (LEAF, CANDIDATES), within,
+            "ball bigint, centre array<double>, bound double, cell bigint",
+        )
+        stay = at.join(children.select("cell").distinct(), "cell", "left_anti")
+        arrived = stay if arrived is None else arrived.unionByName(stay)
+        at = cut_lineage(step)
+    pairs = arrived.unionByName(at).where(F.col("ball") != F.col("cell"))
+    return _meet(
+        placed, pairs, "cell", ("rep", "ball"), (LEAF, BALLS), reached, f"cell bigint, cand {rep_type}, x array<double>"
     )
-    best = Window.partitionBy("rep").orderBy("dist2", "cand")
-    return partial.withColumn("r", F.row_number().over(best)).where(F.col("r") <= want).drop("r")
-
-
-def _cell_bounds(folded: DataFrame, pivots: np.ndarray, want: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per cell: bound on the distance to its ``want``-th neighbour, point count, radius."""
-
-    def measure(batches):
-        for batch in _blocks(batches, len(pivots)):
-            d = np.sqrt(_distances(_matrix(batch.column("x"), batch.num_rows), pivots))
-            cell = d.argmin(axis=1)
-            own = d[np.arange(len(d)), cell]
-            # a batch needs to report only its counts, radii and smallest distances per cell
-            for c in np.unique(cell):
-                mine = np.sort(own[cell == c])
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "cell": pa.array([int(c)], pa.int32()),
-                        "n": pa.array([len(mine)], pa.int64()),
-                        "radius": pa.array([float(mine[-1])]),
-                        "near": pa.array([mine[:want].tolist()], pa.list_(pa.float64())),
-                    }
-                )
-
-    measured = folded.select("x").mapInArrow(measure, "cell int, n bigint, radius double, near array<double>")
-    totals = measured.groupBy("cell").agg(F.sum("n").alias("n"), F.max("radius").alias("radius"))
-    near = measured.select("cell", F.explode("near").alias("d"))
-    ranked = near.withColumn("r", F.row_number().over(Window.partitionBy("cell").orderBy("d")))
-    lists = ranked.where(F.col("r") <= want).groupBy("cell").agg(F.array_sort(F.collect_list("d")).alias("near"))
-    rows = totals.join(lists, "cell").collect()  # one row per pivot
-    p = len(pivots)
-    counts, radius = np.zeros(p, dtype=np.int64), np.zeros(p)
-    nearest = np.full((p, want), np.inf)
-    for r in rows:
-        counts[r["cell"]], radius[r["cell"]] = r["n"], r["radius"]
-        nearest[r["cell"], : len(r["near"])] = r["near"]
-    reach = np.empty(p)
-    step = max(1, BLOCK // max(1, p))
-    for at in range(0, p, step):
-        between = np.sqrt(_distances(pivots[at : at + step], pivots))
-        # any known points bound the reach from above; those of the nearest cells bound it well
-        close = np.argpartition(between, min(NEAR_CELLS, p) - 1, axis=1)[:, :NEAR_CELLS]
-        for i, row in enumerate(close):
-            upper = np.sort(between[i, row][:, None] + nearest[row], axis=None) + radius[at + i]
-            reach[at + i] = upper[min(want, upper.size) - 1]
-    return reach, counts, radius

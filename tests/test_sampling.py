@@ -124,14 +124,14 @@ def test_smote_points_lie_between_neighbours(imbalance):
         R.smote(imbalance, "y", "id", "x", k=3).count()
 
 
-@pytest.mark.parametrize("dims,piece", [(2, 4096), (3, 24), (12, 100)])
-def test_neighbours_equal_brute_force_with_a_crowd_of_copies(spark, dims, piece):
+@pytest.mark.parametrize("dims,leaf,fan", [(2, 2048, 32), (3, 12, 3), (12, 60, 8)])
+def test_neighbours_equal_brute_force_with_a_crowd_of_copies(spark, dims, leaf, fan):
     rng = np.random.default_rng(dims)
     x = rng.integers(0, 5, (400, dims)) / 2.0
     x[50:190] = x[3]
     df = spark.createDataFrame([(i, x[i].tolist()) for i in range(400)], "id bigint, x array<double>")
     near: dict = {}
-    for r in nearest_neighbours(df, "id", "x", 5, piece=piece).collect():
+    for r in nearest_neighbours(df, "id", "x", 5, leaf=leaf, fan=fan).collect():
         near.setdefault(r["id"], {})[r["rank"]] = (r["neighbour"], r["dist2"])
     d = ((x[:, None] - x[None]) ** 2).sum(-1)
     for i in range(400):
@@ -169,20 +169,48 @@ def test_dense_index_with_small_buckets(spark, monkeypatch):
             assert [i for _, i in part] == list(range(len(part)))
 
 
-@pytest.mark.parametrize("block", [50, 4_000_000])
-def test_neighbours_do_not_depend_on_the_blocks(spark, monkeypatch, block):
-    from tabstudy.operators import neighbours
-
-    monkeypatch.setattr(neighbours, "BLOCK", block)
-    monkeypatch.setattr(neighbours, "NEAR_CELLS", 3)
-    x = np.random.default_rng(4).normal(size=(900, 2))
-    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, x array<double>")
-    got = {}
-    for r in neighbours.nearest_neighbours(frame, "id", "x", 4, piece=100).collect():
-        got.setdefault(r["id"], {})[r["rank"]] = r["neighbour"]
+def plain_neighbours(x: np.ndarray, k: int) -> list[list[int]]:
     d = ((x[:, None] - x[None]) ** 2).sum(-1)
     np.fill_diagonal(d, np.inf)
-    assert all([got[i][k] for k in (1, 2, 3, 4)] == np.argsort(d[i], kind="stable")[:4].tolist() for i in range(900))
+    return [np.argsort(row, kind="stable")[:k].tolist() for row in d]
+
+
+def tree_neighbours(spark, x: np.ndarray, k: int, **tree) -> list[list[int]]:
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, x array<double>")
+    got = [[-1] * k for _ in x]
+    for r in nearest_neighbours(frame, "id", "x", k, **tree).collect():
+        got[r["id"]][r["rank"] - 1] = r["neighbour"]
+    return got
+
+
+SHAPES = {
+    "clusters": lambda rng: np.repeat(rng.normal(size=(30, 2)) * 100, 30, axis=0) + rng.normal(size=(900, 2)),
+    "scales": lambda rng: (2.0 ** rng.uniform(0, 40, 700))[:, None] * np.eye(2)[rng.integers(0, 2, 700)],
+    "equidistant": lambda rng: np.eye(220),
+}
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+def test_pivot_tree_of_several_levels(spark, shape):
+    x = SHAPES[shape](np.random.default_rng(4))
+    assert tree_neighbours(spark, x, 4, leaf=25, fan=4) == plain_neighbours(x, 4)
+
+
+def test_leaves_far_away_are_not_searched(spark):
+    from pyspark.sql import functions as F
+
+    from tabstudy.operators import neighbours
+
+    x = SHAPES["clusters"](np.random.default_rng(4))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "rep long, x array<double>")
+    placed, levels = neighbours._grow(frame, 5, 25, 4)
+    assert len(levels) >= 3 and placed.count() == 900
+    assert placed.groupBy("cell").count().agg(F.max("count")).first()[0] <= 25
+    near = neighbours._search(placed, placed.select("cell", F.col("rep").alias("cand"), "x"), 5)
+    balls = neighbours._balls(placed, near, levels, 5)
+    assert balls.count() == placed.select("cell").distinct().count()
+    sent = neighbours._sent(placed, balls, levels).count()
+    assert 0 < sent < 900 * balls.count() / 5
 
 
 def test_small_state_is_the_same_held_either_way(spark):
