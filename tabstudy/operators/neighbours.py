@@ -19,7 +19,7 @@ from collections.abc import Callable
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from tabstudy.operators.keyed import hash_key
 from tabstudy.session import cut_lineage, hold_small
@@ -44,12 +44,11 @@ def nearest_neighbours(
     """
     rows = df.select(F.col(key).alias("id"), F.col(features).cast("array<double>").alias("x"))
     folded, members = _fold_copies(rows, k + 1)
-    near = _nearest_vectors(folded.select("rep", "x"), k + 1, max(leaf, k + 1), fan)
+    near = _nearest_vectors(folded, k + 1, max(leaf, k + 1), fan)
     # ids behind the nearest vectors, best k + 1 of them per vector
     best = Window.partitionBy("rep").orderBy("dist2", "neighbour")
     lists = (
-        near.join(folded.select(F.col("rep").alias("cand"), "ids"), "cand")
-        .select("rep", "dist2", F.explode("ids").alias("neighbour"))
+        near.select("rep", "dist2", F.explode("ids").alias("neighbour"))
         .withColumn("r", F.row_number().over(best))
         .where(F.col("r") <= k + 1)
     )
@@ -69,7 +68,7 @@ def _fold_copies(rows: DataFrame, keep: int) -> tuple[DataFrame, DataFrame]:
         rows.withColumn("r", F.row_number().over(first))
         .where(F.col("r") <= keep)  # limited per task before the shuffle
         .groupBy("x")
-        .agg(F.array_sort(F.collect_list("id")).alias("ids"))
+        .agg(F.array_sort(F.collect_list("id")).cast(T.ArrayType(rows.schema["id"].dataType)).alias("ids"))
     )
     folded = cut_lineage(ids.select(F.element_at("ids", 1).alias("rep"), "x", "ids"))
     members = rows.join(folded.select("x", "rep"), "x").select("id", "rep")
@@ -129,9 +128,9 @@ def _meet(
 
 
 def _nearest_vectors(points: DataFrame, want: int, leaf: int, fan: int) -> DataFrame:
-    """(rep, cand, dist2): the ``want`` nearest distinct vectors of each, itself included."""
+    """(rep, cand, ids, dist2): the ``want`` nearest distinct vectors of each, itself included, with the ids behind them."""
     placed, levels = _grow(points, want, leaf, fan)
-    near = _search(placed, placed.select("cell", F.col("rep").alias("cand"), "x"), want)
+    near = _search(placed, placed.select("cell", F.col("rep").alias("cand"), "ids", "x"), want)
     if levels:
         near = cut_lineage(near)
         sent = _sent(placed, _balls(placed, near, levels, want), levels)
@@ -141,7 +140,7 @@ def _nearest_vectors(points: DataFrame, want: int, leaf: int, fan: int) -> DataF
 
 
 def _search(queries: DataFrame, candidates: DataFrame, want: int) -> DataFrame:
-    """(rep, cand, dist2): per query the ``want`` nearest candidates of its cell, from every piece of them."""
+    """(rep, cand, ids, dist2): per query the ``want`` nearest candidates of its cell, from every piece of them."""
     rep_type = queries.schema["rep"].dataType.simpleString()
 
     def nearest(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -155,15 +154,16 @@ def _search(queries: DataFrame, candidates: DataFrame, want: int) -> DataFrame:
             order.append(best.ravel())
             near.append(np.take_along_axis(d, best, axis=1).ravel())
         who = pa.array(np.repeat(np.arange(len(a)), take))
-        columns = [left["rep"].take(who), right["cand"].take(pa.array(np.concatenate(order)))]
-        return pa.table([*columns, pa.array(np.concatenate(near))], names=["rep", "cand", "dist2"])
+        found = right.select(["cand", "ids"]).take(pa.array(np.concatenate(order)))
+        columns = [left["rep"].take(who), *found.columns, pa.array(np.concatenate(near))]
+        return pa.table(columns, names=["rep", "cand", "ids", "dist2"])
 
-    schema = f"rep {rep_type}, cand {rep_type}, dist2 double"
+    schema = f"rep {rep_type}, cand {rep_type}, ids array<{rep_type}>, dist2 double"
     return _meet(queries.select("cell", "rep", "x"), candidates, "cell", ("rep", "cand"), (QUERIES, CANDIDATES), nearest, schema)
 
 
 def _grow(points: DataFrame, want: int, leaf: int, fan: int) -> tuple[DataFrame, list[DataFrame]]:
-    """Points (rep, x, cell) in their leaves, and per level its cells.
+    """Points (rep, ids, x, cell) in their leaves, and per level its cells.
 
     A level's cells have (parent, cell, centre, n, radius, near): ``near`` are the ``want`` smallest distances to
     the centre, and cells are numbered so that a child's number tells its parent's.
@@ -184,9 +184,10 @@ def _grow(points: DataFrame, want: int, leaf: int, fan: int) -> tuple[DataFrame,
             which = (least.cumsum(axis=1) == pick[:, None] + 1).argmax(axis=1)
             cell[at : at + len(d)] = child[which]
             own[at : at + len(d)] = np.sqrt(d[rows, which])
-        return pa.table([left["rep"], left["x"], pa.array(cell), pa.array(own)], names=["rep", "x", "cell", "d"])
+        kept = left.select(["rep", "ids", "x"])
+        return kept.append_column("cell", pa.array(cell)).append_column("d", pa.array(own))
 
-    placed = points.select("rep", "x", F.lit(0).cast("bigint").alias("cell"))
+    placed = points.select("rep", "ids", "x", F.lit(0).cast("bigint").alias("cell"))
     levels: list[DataFrame] = []
     for level in range(LEVELS):
         large = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > leaf).select("cell")
@@ -202,13 +203,13 @@ def _grow(points: DataFrame, want: int, leaf: int, fan: int) -> tuple[DataFrame,
         )
         turn = F.pmod(F.xxhash64("rep", F.lit(level)), F.lit(1 << 20)).alias("turn")
         cut = _meet(
-            open_points.select("cell", "rep", "x", turn),
+            open_points.select("cell", "rep", "ids", "x", turn),
             pivots,
             "cell",
             ("rep", "child"),
             (CANDIDATES, fan),
             nearest_pivot,
-            f"rep {rep_type}, x array<double>, cell bigint, d double",
+            f"rep {rep_type}, ids array<{rep_type}>, x array<double>, cell bigint, d double",
         )
         cut = cut_lineage(cut)
         levels.append(cut_lineage(_described(cut, pivots, want)))
@@ -260,7 +261,7 @@ def _balls(placed: DataFrame, near: DataFrame, levels: list[DataFrame], want: in
 
 
 def _sent(placed: DataFrame, balls: DataFrame, levels: list[DataFrame]) -> DataFrame:
-    """(cell, cand, x): per leaf the points of other leaves within its bound."""
+    """(cell, cand, ids, x): per leaf the points of other leaves within its bound."""
     rep_type = placed.schema["rep"].dataType.simpleString()
 
     def within(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -275,7 +276,8 @@ def _sent(placed: DataFrame, balls: DataFrame, levels: list[DataFrame]) -> DataF
         d = np.sqrt(_distances(_matrix(left["x"]), _matrix(right["centre"])))
         near = d <= np.asarray(right["bound"])[None, :] * (1 + SLACK) + SLACK
         who, where = (pa.array(i) for i in np.nonzero(near & _other(left, right)))
-        return pa.table([right["ball"].take(where), left["rep"].take(who), left["x"].take(who)], names=["cell", "cand", "x"])
+        sent = left.select(["rep", "ids", "x"]).take(who).rename_columns(["cand", "ids", "x"])
+        return sent.add_column(0, "cell", right["ball"].take(where))
 
     def _other(left: pa.Table, right: pa.Table) -> np.ndarray:
         return np.asarray(left["cell"])[:, None] != np.asarray(right["ball"])[None, :]
@@ -293,5 +295,6 @@ def _sent(placed: DataFrame, balls: DataFrame, levels: list[DataFrame]) -> DataF
         at = cut_lineage(step)
     pairs = arrived.unionByName(at).where(F.col("ball") != F.col("cell"))
     return _meet(
-        placed, pairs, "cell", ("rep", "ball"), (LEAF, BALLS), reached, f"cell bigint, cand {rep_type}, x array<double>"
-    )
+        placed, pairs, "cell", ("rep", "ball"), (LEAF, BALLS), reached,
+        f"cell bigint, cand {rep_type}, ids array<{rep_type}>, x array<double>",
+    )

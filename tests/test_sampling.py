@@ -203,10 +203,11 @@ def test_leaves_far_away_are_not_searched(spark):
 
     x = SHAPES["clusters"](np.random.default_rng(4))
     frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "rep long, x array<double>")
+    frame = frame.withColumn("ids", F.array("rep"))
     placed, levels = neighbours._grow(frame, 5, 25, 4)
     assert len(levels) >= 3 and placed.count() == 900
     assert placed.groupBy("cell").count().agg(F.max("count")).first()[0] <= 25
-    near = neighbours._search(placed, placed.select("cell", F.col("rep").alias("cand"), "x"), 5)
+    near = neighbours._search(placed, placed.select("cell", F.col("rep").alias("cand"), "ids", "x"), 5)
     balls = neighbours._balls(placed, near, levels, 5)
     assert balls.count() == placed.select("cell").distinct().count()
     sent = neighbours._sent(placed, balls, levels).count()
