@@ -155,25 +155,18 @@ def describe(
     df: DataFrame, columns: Sequence[str], decimals: int = 2
 ) -> DataFrame:
     """(statistic, one column per input): count, mean, std, min, quartiles, max, all exact."""
-    quartiles = quantile_table(
-        df, columns, {"25%": 0.25, "50%": 0.5, "75%": 0.75}
-    ).collect()  # one row per column
-    known = {r["column"]: r for r in quartiles}
-    clean = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    valid = {c: F.when(~F.isnan(c), F.col(c)) for c in columns}
     basic = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
-    row = clean.agg(*[f(valid[c]).cast("double").alias(f"{s}:{c}") for s, f in basic.items() for c in columns])
+    also = {name: f("value").cast("double") for name, f in basic.items()}
+    rows = quantile_table(df, columns, {"25%": 0.25, "50%": 0.5, "75%": 0.75}, also=also).collect()  # one row per column
+    known = {r["column"]: r for r in rows}
     order = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
 
     def cell(statistic: str, column: str) -> Column:
-        if statistic in basic:
-            value = F.col(f"{statistic}:{column}")
-        else:
-            value = F.lit(known[column][statistic] if column in known else None).cast("double")
-        return round_half_even(value, decimals).alias(column)
+        found = known[column][statistic] if column in known else 0.0 if statistic == "count" else None
+        return round_half_even(F.lit(found).cast("double"), decimals).alias(column)
 
     entries = [F.struct(F.lit(s).alias("statistic"), *[cell(s, c) for c in columns]) for s in order]
-    return row.select(F.inline(F.array(*entries)))
+    return df.sparkSession.range(1).select(F.inline(F.array(*entries)))
 
 
 def correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:

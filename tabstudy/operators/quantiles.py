@@ -1,20 +1,24 @@
 """Exact linear-interpolated quantiles that never gather a column in one task.
 
-Every wanted rank has a bracket of values, at first from the minimum to the maximum. One scan counts all brackets'
-values in equal bins; the bin that holds the rank is the next bracket. A bracket is exact at all times, as what lies
-below it has been counted, and at most 1/``BINS`` as wide after each scan, so the search ends with a single value. Two
-or three scans do for most data. All shuffles carry counts per bin, combined map-side.
+The first scan builds a mergeable sketch per group and column; its rank error says between which two values a wanted
+rank lies almost certainly. The second scan proves it: it counts the values in bins of those brackets and in the gaps
+beside them, so the cell that holds a rank is known whatever the sketch said. A rank alone in its cell, or in one whose
+values are equal, is found; else the cell is the next bracket, at most 1/``BINS`` as wide, for another scan. So two scans do
+for most data, and any data is exact. A value is one row in a scan however many ranks are wanted, and all shuffles carry
+sketches or counts per cell, combined map-side.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tabstudy.session import hold_small
 
-BINS = 4096
+BINS = 32_768
+SKETCH = 4096  # values kept per level of a sketch
+SKETCH_ERROR = 0.0025  # twice the error in rank of such a sketch that 99 % of them keep to
 ACCURACY = 10_000
 
 
@@ -32,84 +36,116 @@ def exact_quantiles(
     probs: Sequence[float],
     by: Sequence[str] = (),
     bins: int = BINS,
+    also: Mapping[str, Column] | None = None,
+    error: float = SKETCH_ERROR,
 ) -> DataFrame:
-    """Long result (by…, column, prob, value), one row per group, column and probability."""
-    by = list(by)
-    tall = long_numeric(df, columns, by)
+    """Long result (by…, column, prob, value), one row per group, column and distinct probability.
+
+    ``also`` names aggregates of the column ``value``, which are taken in the first scan and repeated per row.
+    ``bins`` and ``error`` (the half width of the first brackets, in rank) do not change the result.
+    """
     keys = [*by, "column"]
-    ids = [*keys, "prob", "up"]
-    state = hold_small(_targets(tall, keys, probs))
-    while not state.where("lo < hi").isEmpty():
-        state = hold_small(_narrower(tall, keys, ids, state, bins))
-    low, high = (F.max(F.when(F.col("up") == i, F.col("lo"))) for i in (0, 1))
-    part = F.first("part")
-    return state.groupBy(*keys, "prob").agg(((1 - part) * low + part * high).alias("value"))
+    wanted = sorted({float(p) for p in probs})
+    also = dict(also or {})
+    tall = long_numeric(df, columns, by)
+    state = hold_small(_sketched(tall, keys, wanted, also, error))
+    while not state.where("__open").isEmpty():
+        state = hold_small(_narrower(tall, keys, wanted, state, bins))
+    rows = []
+    for j, p in enumerate(wanted):
+        position = _position(p)
+        part = f"({position} - floor({position}))"
+        rows.append(f"struct({p!r}D AS prob, (1 - {part}) * __lo{j} + {part} * __hi{j} AS value)")
+    return state.select(*keys, *also, F.expr(f"inline(array({', '.join(rows)}))"))
 
 
-def _same_keys(keys: Sequence[str], left: str = "t", right: str = "s") -> Column:
-    """Null-safe key match: a null group is a group here."""
-    match = F.lit(True)
-    for key in keys:
-        match = match & F.col(f"{left}.{key}").eqNullSafe(F.col(f"{right}.{key}"))
-    return match
+def _position(prob: float) -> str:
+    return f"((__n - 1) * {prob!r}D)"
 
 
-def _targets(tall: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
-    """The two wanted ranks of every group and probability, and the bracket of all values."""
-    position = (F.col("n") - 1) * F.col("prob")
-    wanted = F.array(
-        *[F.struct(F.lit(float(p)).alias("prob"), F.lit(up).alias("up")) for p in probs for up in (0, 1)]
-    )
-    return (
-        tall.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
-        .select(*keys, "n", "lo", "hi", F.inline(wanted))
-        .select(
-            *keys,
-            "prob",
-            "up",
-            (position - F.floor(position)).alias("part"),
-            F.when(F.col("up") == 0, F.floor(position)).otherwise(F.ceil(position)).alias("rank"),
-            F.lit(0).cast("bigint").alias("below"),
-            "lo",
-            "hi",
-        )
+def _sketched(
+    tall: DataFrame, keys: list[str], probs: list[float], also: Mapping[str, Column], error: float
+) -> DataFrame:
+    """One row per group: size, ``also`` and the bracket [lo, hi] of every probability, not yet proven."""
+    ends = [min(1.0, max(0.0, p + e)) for p in probs for e in (-error, error)]
+    sketch = tall.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("__n"),
+        F.kll_sketch_agg_double("value", SKETCH).alias("__sketch"),
+        *[c.alias(name) for name, c in also.items()],
     )
+    found = F.expr(f"kll_sketch_get_quantile_double(__sketch, array({', '.join(f'{e!r}D' for e in ends)}))")
+    brackets = [f"__ends[{2 * j + i}] AS __{e}{j}" for j in range(len(probs)) for i, e in enumerate(("lo", "hi"))]
+    named = [f"`{name}`" for name in (*keys, *also)]
+    return sketch.withColumn("__ends", found).selectExpr(*named, "__n", *brackets, "true AS __open")
 
 
-def _log_scale(value: Column) -> Column:
+def _same_keys(keys: Sequence[str], left: str = "t", right: str = "s") -> Column:
+    """Null-safe key match: a null group is a group here."""
+    return F.expr(" AND ".join(f"{left}.`{key}` <=> {right}.`{key}`" for key in keys))
+
+
+def _log_scale(value: str) -> str:
     """Increasing in ``value``; equal steps are equal factors, with 0 between the signs."""
-    return F.when(value == 0, 0.0).otherwise(F.signum(value) * (F.ln(F.abs(value)) + 750))
+    return f"if({value} = 0, 0D, signum({value}) * (ln(abs({value})) + 750))"
 
 
-def _narrower(tall: DataFrame, keys: list[str], ids: list[str], state: DataFrame, bins: int) -> DataFrame:
-    """One scan: count every open bracket's values in equal bins and keep the bin that holds the rank.
+def _place(value: str, lo: str, hi: str, bins: int) -> str:
+    """Bin 0 for the lower end, 1 to ``bins`` inside, the last one for the upper end of a bracket.
 
-    The new bracket runs from the smallest to the largest value met in that bin, so it is at most 1/bins as wide,
-    and the values below it have been counted. Brackets that span more than a factor of 16 are cut on a logarithmic
-    scale, so that a value among very unlike ones is found as fast.
+    Brackets that span more than a factor of 16 are cut on a logarithmic scale, so that a value among very unlike
+    ones is found as fast.
     """
-    value, lo, hi = F.col("t.value"), F.col("s.lo"), F.col("s.hi")
-    narrow = (F.signum(lo) == F.signum(hi)) & (F.greatest(F.abs(lo), F.abs(hi)) / 16 <= F.least(F.abs(lo), F.abs(hi)))
-    share = F.when(narrow, (value - lo) / (hi - lo)).otherwise(
-        (_log_scale(value) - _log_scale(lo)) / F.greatest(_log_scale(hi) - _log_scale(lo), F.lit(1e-300))
-    )
-    middle = F.least(F.floor(share * bins), F.lit(bins - 1)).cast("int")
-    place = F.when(value <= lo, F.lit(-1)).when(value >= hi, F.lit(bins)).otherwise(middle)
+    narrow = f"signum({lo}) = signum({hi}) AND greatest(abs({lo}), abs({hi})) / 16 <= least(abs({lo}), abs({hi}))"
+    even = f"({value} - {lo}) / ({hi} - {lo})"
+    low = _log_scale(lo)
+    steps = f"({_log_scale(value)} - {low}) / greatest({_log_scale(hi)} - {low}, 1e-300D)"
+    inside = f"cast(least(floor(if({narrow}, {even}, {steps}) * {bins}), {bins - 1}) AS int) + 1"
+    return f"CASE WHEN {value} <= {lo} THEN 0 WHEN {value} >= {hi} THEN {bins + 1} ELSE {inside} END"
+
+
+def _narrower(tall: DataFrame, keys: list[str], probs: list[float], state: DataFrame, bins: int) -> DataFrame:
+    """One scan: count the values of open groups in cells, and find the cell that holds each wanted rank.
+
+    Cells ascend with the values: the gap below a bracket, its bins, the next gap. Two neighbouring ranks in different
+    cells are the largest value of one and the smallest of the other; in one cell, its extremes are the next bracket.
+    """
+    width = bins + 2
+    cells = []
+    for j in range(len(probs)):
+        lo, hi = f"s.__lo{j}", f"s.__hi{j}"
+        cells.append(f"WHEN t.value < {lo} THEN {2 * j * width}")
+        cells.append(f"WHEN t.value <= {hi} THEN {(2 * j + 1) * width} + {_place('t.value', lo, hi, bins)}")
+    cell = F.expr(f"CASE {' '.join(cells)} ELSE {2 * len(probs) * width} END")
     counted = (
         tall.alias("t")
-        .join(state.where("lo < hi").alias("s"), _same_keys(keys))
-        .where(F.col("t.value").between(F.col("s.lo"), F.col("s.hi")))
-        .groupBy(*[F.col(f"s.{c}").alias(c) for c in (*ids, "part", "rank", "below")], place.alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"), F.min("t.value").alias("lo"), F.max("t.value").alias("hi"))
+        .join(state.where("__open").alias("s"), _same_keys(keys))
+        .groupBy(*[F.col(f"t.{k}").alias(k) for k in keys], cell.alias("__cell"))
+        .agg(F.expr("count(1) AS __c"), F.expr("min(t.value) AS __lo"), F.expr("max(t.value) AS __hi"))
+    )
+    by = ", ".join(f"`{k}`" for k in keys)
+    # windows and groups hold one row per cell met
+    running = counted.selectExpr(
+        "*", f"sum(__c) OVER (PARTITION BY {by} ORDER BY __cell) AS __upto", f"sum(__c) OVER (PARTITION BY {by}) AS __n"
     )
-    running = Window.partitionBy(*ids).orderBy("bin")  # at most bins + 2 rows
-    upto = F.col("below") + F.sum("n").over(running)
-    holds = (F.col("upto") - F.col("n") <= F.col("rank")) & (F.col("rank") < F.col("upto"))
-    found = counted.withColumn("upto", upto).where(holds)
-    columns = [*ids, "part", "rank", "below", "lo", "hi"]
-    found = found.withColumn("below", F.col("upto") - F.col("n")).select(*columns)
-    return found.unionByName(state.where("lo >= hi").select(*columns))
+    ends = []
+    for j, p in enumerate(probs):
+        for name, step in (("f", "floor"), ("c", "ceil")):
+            rank = f"{step}({_position(p)})"
+            holds = f"__upto - __c <= {rank} AND {rank} < __upto"
+            ends += [F.expr(f"max(if({holds}, {e}, NULL)) AS {e}_{name}{j}") for e in ("__lo", "__hi")]
+    found = running.groupBy(*keys).agg(*ends)
+    brackets, unsure = [], []
+    for j in range(len(probs)):
+        together = f"__lo_f{j} = __lo_c{j}"
+        brackets.append(f"if({together}, __lo_f{j}, __hi_f{j}) AS __lo{j}")
+        brackets.append(f"if({together}, __hi_f{j}, __lo_c{j}) AS __hi{j}")
+        unsure.append(f"({together} AND __lo_f{j} < __hi_f{j})")
+    now = found.selectExpr(*[f"`{k}`" for k in keys], *brackets, f"{' OR '.join(unsure)} AS __open")
+    kept = [c for c in state.columns if c not in now.columns]
+    narrowed = state.where("__open").alias("t").join(now.alias("s"), _same_keys(keys)).selectExpr(
+        *[f"{'t' if c in (*keys, *kept) else 's'}.`{c}` AS `{c}`" for c in state.columns]
+    )
+    return narrowed.unionByName(state.where("NOT __open"))
 
 
 def quantile_table(
@@ -117,10 +153,11 @@ def quantile_table(
     columns: Sequence[str],
     named: dict[str, float],
     by: Sequence[str] = (),
+    also: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Wide form (by…, column, one column per name in ``named``)."""
-    keys = [*by, "column"]
-    tall = exact_quantiles(df, columns, list(named.values()), by)
+    """Wide form (by…, column, one column per name in ``also`` and ``named``)."""
+    keys = [*by, "column", *(also or {})]
+    tall = exact_quantiles(df, columns, list(named.values()), by, also=also)
     cells = [
         F.max(F.when(F.col("prob") == F.lit(float(p)), F.col("value"))).alias(name)
         for name, p in named.items()

@@ -84,6 +84,33 @@ def test_quantiles_do_not_depend_on_the_number_of_bins(spark, bins):
         assert r["value"] == pytest.approx((1 - part) * low + part * high, rel=1e-12)
 
 
+@pytest.mark.parametrize("error", [0.0, 0.002])
+def test_brackets_that_miss_the_rank_are_noticed(spark, error):
+    """With no or too little room around the sketch's guess the counts still lead to the right value."""
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(size=60_000), np.full(4000, 0.5), rng.integers(0, 3, 4000)])
+    df = spark.createDataFrame(pd.DataFrame({"x": x, "g": np.where(np.arange(len(x)) % 9, "a", None)})).repartition(6)
+    probs = [0.5, 0.01, 0.011, 0.3, 0.69, 0.7, 0.999]
+    for by in ((), ("g",)):
+        found = exact_quantiles(df, ["x"], probs, by=by, bins=500, error=error).collect()
+        assert len(found) == len(probs) * (2 if by else 1)
+        for r in found:
+            part = x if not by else x[(np.arange(len(x)) % 9 > 0) == (r["g"] == "a")]
+            assert r["value"] == pytest.approx(np.quantile(part, r["prob"]), abs=1e-12)
+
+
+def test_two_scans_do(spark, monkeypatch):
+    from tabstudy.operators import quantiles
+
+    scans = []
+    narrower = quantiles._narrower
+    monkeypatch.setattr(quantiles, "_narrower", lambda *a: scans.append(1) or narrower(*a))
+    x = np.random.default_rng(5).integers(0, 10**6, 50_000) / 100
+    df = spark.createDataFrame(pd.DataFrame({"x": x}))
+    found = exact_quantiles(df, ["x"], [0.25, 0.5, 0.75]).collect()
+    assert [r["value"] for r in found] == pytest.approx(np.quantile(x, [0.25, 0.5, 0.75]).tolist()) and len(scans) == 1
+
+
 def test_bracket_of_a_gap_ends(spark):
     """The two ranks of a median may lie at the far ends of a range with nothing between."""
     df = spark.createDataFrame([(x,) for x in [0.0] * 50 + [1e9] * 50], "x double")
