@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tabstudy.functions.columns import round_half_even
 from tabstudy.functions.text import count_pair
-from tabstudy.models.mlp import NeuralNet, NeuralNetModel
+from tabstudy.models.mlp import NeuralNet, NeuralNetModel, fit_together
 from tabstudy.operators.metrics import (
     classification_metrics,
     regression_metrics_wide,
@@ -176,13 +176,18 @@ def balance_counts_text(results: DataFrame) -> DataFrame:
 def tuning(
     configs: Mapping[str, NeuralNet], train: DataFrame, validation: DataFrame, label_sd: float = 1.0
 ) -> tuple[DataFrame, dict[str, NeuralNetModel]]:
-    """(config, epochs, train_mse, val_mse, val_rmse, seconds): every configuration trained and timed."""
-    rows, fitted = [], {}
-    for name, net in configs.items():
-        model = net.fit_with_history(train, validation, label_sd)
-        last = model.rows[-1]
-        rows.append((name, model.epochs, last[1], last[2], last[3], model.fit_seconds))
-        fitted[name] = model
+    """(config, epochs, train_mse, val_mse, val_rmse, seconds): every configuration trained and timed.
+
+    Configurations that see the same rows are trained together, in one scan per epoch; ``seconds`` is when each was done.
+    """
+    fitted: dict[str, NeuralNetModel] = {}
+    for net in configs.values():
+        together = {n: c for n, c in configs.items() if n not in fitted and c.shares_rows(net)}
+        fitted |= fit_together(together, train, validation, label_sd) if together else {}
+    rows = []
+    for name in configs:
+        last = fitted[name].rows[-1]
+        rows.append((name, fitted[name].epochs, last[1], last[2], last[3], fitted[name].fit_seconds))
     schema = "config string, epochs int, train_mse double, val_mse double, val_rmse double, seconds double"
     return small_table(train.sparkSession, rows, schema), fitted
 

@@ -191,6 +191,44 @@ def test_many_shards_are_merged_in_groups(prepared):
     assert model.rows[1][1] < model.rows[0][1]
 
 
+def test_shards_follow_from_the_rows_alone(prepared, monkeypatch):
+    """One input partition or nine, whatever the cores: the same shards, and states merged in their order, bit by bit."""
+    from tabstudy.models import mlp
+
+    parts, _ = prepared
+    scaled = parts["train"].withColumn("label", (F.col("label") - 20000) / 20000)
+    monkeypatch.setattr(mlp, "SHARD_ROWS", 80)
+    net = NeuralNet(hidden=(8,), epochs=2, key=["_c0"])
+    assert net._shards(scaled) == -(-scaled.count() // 80) > mlp.MERGE_FAN
+    one, nine = (net.fit(scaled.repartition(n)) for n in (1, 9))
+    assert one.state["w"].tolist() == nine.state["w"].tolist()
+
+
+def test_networks_trained_together_are_those_trained_alone(prepared, monkeypatch):
+    from tabstudy.models import mlp
+
+    parts, _ = prepared
+    train, val = (parts[n].withColumn("label", (F.col("label") - 20000) / 20000) for n in ("train", "val"))
+    nets = {
+        "short": NeuralNet(hidden=(16,), epochs=2, key=["_c0"]),
+        "fast": NeuralNet(hidden=(16, 8), epochs=4, lr=0.005, batch_size=100, key=["_c0"]),
+        "deep": NeuralNet(hidden=(12, 8, 4), epochs=3, batch_norm=True, dropout=0.2, key=["_c0"]),
+        "stale": NeuralNet(hidden=(4,), epochs=9, lr=1e-7, tol=10.0, patience=1, key=["_c0"]),
+    }
+    alone = {name: net.fit_with_history(train, val) for name, net in nets.items()}
+    passes = []
+    epoch = mlp._one_epoch
+    monkeypatch.setattr(mlp, "_one_epoch", lambda *a: passes.append(len(a[2])) or epoch(*a))
+    together = mlp.fit_together(nets, train, val)
+    assert passes == [4, 4, 2, 1]
+    for name, model in together.items():
+        assert model.state["w"].tolist() == alone[name].state["w"].tolist()
+        for a, b in zip(model.rows, alone[name].rows, strict=True):
+            assert a[:2] == b[:2] and a[2] == pytest.approx(b[2], rel=1e-12)
+    with pytest.raises(ValueError, match="agree"):
+        mlp.fit_together({"a": nets["short"], "b": NeuralNet(key=["_c0"], seed=7)}, train)
+
+
 def test_early_stopping_restores_the_best_state(prepared):
     parts, _ = prepared
     noise = parts["train"].withColumn("label", F.pmod(F.xxhash64("_c0"), F.lit(2)).cast("double"))
