@@ -277,12 +277,11 @@ def ridge_predictions(t: Tables):
     return model.transform(rows).select("id", F.round("prediction", 3).alias("prediction"))
 
 
-def stump_sql(rounds: int, rate: float = 0.1) -> str:
-    """Least-squares boosting with one-split trees over p_size, the first tree at full weight."""
-    sql = """WITH d AS (SELECT p_size AS x, count(*)::DOUBLE AS n, sum(p_retailprice) AS s FROM part GROUP BY 1),
-    f0 AS (SELECT x, 0.0::DOUBLE AS f FROM d)"""
+def stump_sql(rounds: int, weight: float = 0.1, start: str = "sum(s) OVER () / sum(n) OVER ()") -> str:
+    """Least-squares boosting with one-split trees over p_size, from the mean of the label on."""
+    sql = f"""WITH d AS (SELECT p_size AS x, count(*)::DOUBLE AS n, sum(p_retailprice) AS s FROM part GROUP BY 1),
+    f0 AS (SELECT x, ({start})::DOUBLE AS f FROM d)"""
     for i in range(rounds):
-        weight = 1.0 if i == 0 else rate
         sql += f""", r{i} AS (SELECT x, n, s - n * f AS e, f FROM d JOIN f{i} USING (x)),
         c{i} AS (SELECT x AS cut, sum(n) OVER (ORDER BY x) AS nl, sum(e) OVER (ORDER BY x) AS el,
           sum(n) OVER () AS nt, sum(e) OVER () AS et FROM r{i}),
@@ -299,7 +298,7 @@ def size_rows(t: Tables) -> DataFrame:
     return VectorAssembler(inputCols=["x"], outputCol="features").transform(rows)
 
 
-@bind("ml_06_single_split_forest", stump_sql(1))
+@bind("ml_06_single_split_forest", stump_sql(1, 1.0, "0.0"))
 def single_split_forest(t: Tables):
     """Trees without row sampling all make the same, closed-form split."""
     rows = size_rows(t)
@@ -334,29 +333,35 @@ def event_rows(t: Tables) -> DataFrame:
     return rows.select("event_id", "features", between.cast("double").alias("label"), F.col("value").alias("y"))
 
 
-NET_FACTS = "SELECT count(*) AS n, count(*) AS scored, true AS learned FROM {0}"
+#: What the best linear function of ``value`` leaves of the label of ``event_rows``, and that a network leaves half as much.
+NET_FACTS = """SELECT count(*) AS n, round(var_pop(y) * (1 - power(corr(value, y), 2)), 6) AS linear_loss, true AS learned
+  FROM (SELECT value, (CASE WHEN value BETWEEN q[1] AND q[2] THEN 1 ELSE 0 END * {0} - {1})::DOUBLE AS y FROM events,
+  (SELECT quantile_cont(value, [0.3, 0.7]) AS q FROM events))"""
 
 
 def net_facts(model, rows: DataFrame, column: str) -> DataFrame:
-    learned = model.rows[-1][1] < model.rows[0][1]
-    return model.transform(rows).agg(
-        F.count(F.lit(1)).alias("n"), F.count(column).alias("scored"), F.lit(learned).alias("learned")
+    scored = model.transform(rows)
+    linear = F.var_pop("label") * (1 - F.pow(F.corr("y", "label"), 2))
+    return scored.agg(
+        F.count(column).alias("n"),
+        F.round(linear, 6).alias("linear_loss"),
+        (F.avg(F.pow(F.col(column) - F.col("label"), 2)) < linear / 2).alias("learned"),
     )
 
 
-@bind("ml_03_neural_classifier", NET_FACTS.format("events"))
+@bind("ml_03_neural_classifier", NET_FACTS.format(1, 0))
 def neural_classifier(t: Tables):
     rows = event_rows(t)
     net = NeuralNet(
-        hidden=(64, 32), loss="logloss", epochs=6, l2=1e-4, early_stopping=True, patience=8, key=["event_id"]
+        hidden=(64, 32), loss="logloss", lr=5e-3, epochs=20, l2=1e-4, early_stopping=True, patience=8, key=["event_id"]
     )
     return net_facts(net.fit(rows), rows, "probability")
 
 
-@bind("ml_08_neural_regressor", NET_FACTS.format("events"))
+@bind("ml_08_neural_regressor", NET_FACTS.format(2, 1))
 def neural_regressor(t: Tables):
     rows = event_rows(t).withColumn("label", F.col("label") * 2 - 1)
-    return net_facts(NeuralNet(epochs=4, key=["event_id"]).fit(rows), rows, "prediction")
+    return net_facts(NeuralNet(lr=5e-3, epochs=4, key=["event_id"]).fit(rows), rows, "prediction")
 
 
 @bind("ml_09_scaled_neural_regressor", "SELECT count(*) AS n, count(*) AS scored, true AS learned FROM part")
@@ -369,11 +374,11 @@ def scaled_neural_regressor(t: Tables):
     )
 
 
-@bind("ml_10_deep_network", NET_FACTS.format("events"))
+@bind("ml_10_deep_network", NET_FACTS.format(1, 0))
 def deep_network(t: Tables):
     rows = event_rows(t)
     net = NeuralNet(
-        epochs=4, batch_size=512, l2=0.0, weight_decay=1e-5, batch_norm=True, dropout=0.1, key=["event_id"]
+        lr=5e-3, epochs=16, batch_size=512, l2=0.0, weight_decay=1e-5, batch_norm=True, dropout=0.1, key=["event_id"]
     )
     return net_facts(net.fit(rows), rows, "prediction")
 

@@ -112,7 +112,7 @@ def test_logistic_equals_newton(spark):
 
 
 def test_boosting_is_least_squares_boosting(spark):
-    """Against a hand-written loop of one-split trees on one feature, after the first full tree."""
+    """Against a hand-written loop of one-split trees on one feature, from the mean on."""
     rng = np.random.default_rng(6)
     x = rng.integers(0, 20, 600).astype(float)
     y = np.sin(x / 3) * 10 + rng.normal(size=600)
@@ -121,13 +121,17 @@ def test_boosting_is_least_squares_boosting(spark):
         best = max(((x <= c) for c in np.unique(x)[:-1]), key=lambda left: r[left].sum() ** 2 / left.sum() + r[~left].sum() ** 2 / (~left).sum())
         return np.where(best, r[best].mean(), r[~best].mean())
 
-    f = stump(y)
-    for _ in range(9):
+    f = np.full(600, y.mean())
+    for _ in range(12):
         f = f + 0.1 * stump(y - f)
     df = spark.createDataFrame(pd.DataFrame({"x": x, "label": y, "f": f}))
     df = VectorAssembler(inputCols=["x"], outputCol="features").transform(df)
-    got = boosting(rounds=10, depth=1, rate=0.1).fit(df).transform(df).select("prediction", "f").toPandas()
+    model = boosting(rounds=12, depth=1, rate=0.1).fit(df)
+    got = model.transform(df).select("prediction", "f").toPandas()
     np.testing.assert_allclose(got["prediction"], got["f"], atol=1e-9)
+    assert model.getNumTrees == 13 and model.treeWeights == [1.0] + [0.1] * 12
+    none = boosting(rounds=0, depth=1).fit(df).transform(df).select("prediction").distinct().collect()
+    assert [r["prediction"] for r in none] == pytest.approx([y.mean()])
 
 
 @pytest.mark.parametrize("loss", ["mse", "logloss"])
