@@ -306,15 +306,25 @@ def single_split_forest(t: Tables):
     return model.transform(rows).select("id", F.round("prediction", 4).alias("prediction"))
 
 
-@bind("ml_06_random_forest", "SELECT count(*) AS n, true AS bounded FROM part")
+@bind(
+    "ml_06_random_forest",
+    """SELECT count(*) AS n, round(var_pop(p_retailprice), 2) AS mean_loss, true AS bounded, true AS learned, true AS same
+    FROM part""",
+)
 def random_forest(t: Tables):
-    """Predictions are means of training labels, so they stay within the labels' range."""
+    """Means of training labels stay within their range and beat the mean; bags do not depend on the partitions."""
     rows = part_rows(t).withColumnRenamed("y", "label")
-    model: RandomForestRegressor = forest(trees=10, depth=8)
-    scored = model.fit(rows).transform(rows)
+    fitted = forest(trees=10, depth=8, key=["id"]).fit(rows)
+    other = forest(trees=10, depth=8, key=["id"]).fit(rows.repartition(5))
+    scored = other.setPredictionCol("other").transform(fitted.transform(rows))
+    loss, spread = F.avg(F.pow(F.col("prediction") - F.col("label"), 2)), F.var_pop("label")
     low, high = rows.agg(F.min("label"), F.max("label")).first()
     return scored.agg(
-        F.count(F.lit(1)).alias("n"), F.bool_and(F.col("prediction").between(low, high)).alias("bounded")
+        F.count(F.lit(1)).alias("n"),
+        F.round(spread, 2).alias("mean_loss"),
+        F.bool_and(F.col("prediction").between(low, high)).alias("bounded"),
+        (loss < spread).alias("learned"),
+        (F.max(F.abs(F.col("prediction") - F.col("other"))) < 1e-6).alias("same"),
     )
 
 

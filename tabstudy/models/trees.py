@@ -2,25 +2,68 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Sequence
+
 from pyspark import StorageLevel, keyword_only
 from pyspark.ml import Estimator
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasMaxIter, HasPredictionCol, HasSeed, HasStepSize
-from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressionModel, RandomForestRegressor
+from pyspark.ml.regression import (
+    DecisionTreeRegressor,
+    GBTRegressionModel,
+    RandomForestRegressionModel,
+    RandomForestRegressor,
+)
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, functions as F
 
+from tabstudy.operators.keyed import hash_key
 from tabstudy.session import cut_lineage
 
 MAX_BINS = 128
+BAG_ROWS = 50_000  # rows that share one random stream of bags
 LINEAGE_ROUNDS = 10  # rounds after which the current fit is cut from what it was computed from
 
 
+class DealtForest(Estimator):
+    """A forest whose bags follow from the rows' keys instead of where the rows happen to lie.
+
+    The built-in learner draws how often a row is in a tree's bag per partition, in the order of its rows. So rows
+    are dealt by a hash of their key, in its order, to partitions whose number follows from the number of rows.
+    """
+
+    def __init__(self, learner: RandomForestRegressor, key: Sequence[str], rows: int = BAG_ROWS):
+        super().__init__()
+        self.learner, self.key, self.rows = learner, list(key), rows
+
+    def copy(self, extra=None) -> DealtForest:
+        return DealtForest(self.learner.copy(extra), self.key, self.rows)
+
+    def getLabelCol(self) -> str:
+        return self.learner.getLabelCol()
+
+    def dealt(self, dataset: DataFrame) -> DataFrame:
+        learner = self.learner
+        h = hash_key(self.key, f"bag{learner.getSeed()}").alias("__h")
+        rows = dataset.select(learner.getFeaturesCol(), learner.getLabelCol(), h)
+        parts = max(1, math.ceil(dataset.count() / self.rows))
+        return rows.repartition(parts, "__h").sortWithinPartitions("__h").drop("__h")
+
+    def _fit(self, dataset: DataFrame) -> RandomForestRegressionModel:
+        return self.learner.fit(self.dealt(dataset))
+
+
 def forest(
-    trees: int = 100, depth: int = 15, seed: int = 42, label: str = "label", max_bins: int = MAX_BINS
-) -> RandomForestRegressor:
-    """Bagged trees that consider every feature at every split."""
-    return RandomForestRegressor(
+    trees: int = 100,
+    depth: int = 15,
+    seed: int = 42,
+    label: str = "label",
+    max_bins: int = MAX_BINS,
+    key: Sequence[str] = (),
+) -> RandomForestRegressor | DealtForest:
+    """Bagged trees that consider every feature at every split; with ``key``, the same ones however rows are partitioned."""
+    learner = RandomForestRegressor(
         labelCol=label,
         numTrees=trees,
         maxDepth=depth,
@@ -30,6 +73,7 @@ def forest(
         cacheNodeIds=True,
         seed=seed,
     )
+    return DealtForest(learner, key) if key else learner
 
 
 class Boosting(

@@ -147,7 +147,7 @@ def default_models(key: Sequence[str]) -> dict[str, Estimator]:
     return {
         "neural net": ScaledTarget(NeuralNet(hidden=(128, 64, 32), epochs=40, key=key)),
         "ridge": Ridge(alpha=1.0),
-        "forest": forest(trees=100, depth=15),
+        "forest": forest(trees=100, depth=15, key=key),
         "boosting": boosting(rounds=100, depth=6, rate=0.1),
     }
 

@@ -111,6 +111,20 @@ def test_logistic_equals_newton(spark):
     np.testing.assert_allclose([*model.coefficients, model.intercept], w, atol=1e-5)
 
 
+def test_forest_does_not_depend_on_the_partitions(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(900, 3))
+    frame = pd.DataFrame({"id": range(900), "x": list(x), "label": x[:, 0] * x[:, 1] + rng.normal(size=900)})
+    df = spark.createDataFrame(frame).withColumn("features", array_to_vector("x"))
+    learner = forest(trees=8, depth=6, key=["id"])
+    learner.rows = 100  # nine random streams
+    assert learner.dealt(df).rdd.getNumPartitions() == 9
+    fits = [learner.fit(df.repartition(n)).transform(df).orderBy("id").toPandas()["prediction"] for n in (1, 7)]
+    np.testing.assert_allclose(*fits, rtol=1e-9)
+    other = forest(trees=8, depth=6, seed=1, key=["id"]).fit(df).transform(df).orderBy("id").toPandas()["prediction"]
+    assert np.abs(other - fits[0]).max() > 1e-3
+
+
 def test_boosting_is_least_squares_boosting(spark):
     """Against a hand-written loop of one-split trees on one feature, from the mean on."""
     rng = np.random.default_rng(6)
