@@ -10,7 +10,7 @@ from pyspark import keyword_only
 from pyspark.ml import Estimator
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasMaxIter, HasPredictionCol, HasTol
+from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasMaxIter, HasPredictionCol, HasTol, HasWeightCol
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, functions as F
@@ -59,10 +59,11 @@ class Logistic(
     HasPredictionCol,
     HasMaxIter,
     HasTol,
+    HasWeightCol,
     DefaultParamsReadable,
     DefaultParamsWritable,
 ):
-    """Minimises ``|w|^2 / 2 + C sum logloss``; the intercept is free."""
+    """Minimises ``|w|^2 / 2 + C sum logloss``; the intercept is free. A row of weight k counts as k copies."""
 
     C = Param(Params._dummy(), "C", "weight of the summed loss", TypeConverters.toFloat)
 
@@ -76,8 +77,11 @@ class Logistic(
         featuresCol="features",
         labelCol="label",
         predictionCol="prediction",
+        weightCol=None,
     ):
         super().__init__()
+        if weightCol:
+            self._set(weightCol=weightCol)
         self._set(
             C=C,
             maxIter=maxIter,
@@ -87,9 +91,14 @@ class Logistic(
             predictionCol=predictionCol,
         )
 
+    def setWeightCol(self, name: str) -> Logistic:
+        return self._set(weightCol=name)
+
     def _fit(self, dataset: DataFrame) -> LogisticRegressionModel:
-        n = dataset.count()
+        weighted = self.isSet("weightCol")
+        n = dataset.agg(F.sum(self.getWeightCol())).first()[0] or 0 if weighted else dataset.count()
         return LogisticRegression(
+            **({"weightCol": self.getWeightCol()} if weighted else {}),
             featuresCol=self.getFeaturesCol(),
             labelCol=self.getLabelCol(),
             predictionCol=self.getPredictionCol(),

@@ -57,6 +57,12 @@ def random_oversample(
     return out
 
 
+def _class_draws(train: DataFrame, n: int, draws: int, seed: int | str) -> DataFrame:
+    """(idx, __times): how often each of ``n`` numbered rows is drawn."""
+    picked = F.pmod(hash_number(_draw_text("ros", seed)), F.lit(n)).cast("bigint")
+    return train.sparkSession.range(draws).groupBy(picked.alias("idx")).agg(F.count(F.lit(1)).alias("__times"))
+
+
 def _drawn(
     train: DataFrame,
     label: str,
@@ -70,10 +76,7 @@ def _drawn(
     """``draws`` rows of one class with replacement, by number of draws per row."""
     rows = train.where(F.col(label) == F.lit(cls)).withColumn(HASH, hash_key(key, seed))
     indexed = dense_index(rows, HASH, n)
-    picked = F.pmod(hash_number(_draw_text("ros", seed)), F.lit(n)).cast("bigint")
-    counts = (
-        train.sparkSession.range(draws).groupBy(picked.alias("idx")).agg(F.count(F.lit(1)).alias("__times"))
-    )
+    counts = _class_draws(train, n, draws, seed)
     return _repeat(indexed.join(counts, "idx"), "__times", copies or "__copy").select(*train.columns)
 
 
@@ -103,15 +106,8 @@ def class_weights(sizes: dict) -> dict:
     return {c: (total - n) / total for c, n in sizes.items()}
 
 
-def weighted_bootstrap(
-    train: DataFrame, label: str, key: Sequence[str | Column], seed: int | str = 42, copies: str = ""
-) -> DataFrame:
-    """As many draws with replacement as there are rows, by class-balancing weights.
-
-    A draw picks a class by the classes' weight mass and a row inside it evenly, which is
-    the same distribution as picking one row by its own weight.
-    """
-    sizes = {c: n for c, n in class_sizes(train, label).items() if c is not None}
+def _bootstrap_draws(train: DataFrame, label: str, sizes: dict, seed: int | str) -> DataFrame:
+    """(__cls, __idx, __times): how often each numbered row of a class is drawn."""
     total = sum(sizes.values())
     if len(sizes) < 2:
         weights = {c: 1.0 for c in sizes}
@@ -131,12 +127,24 @@ def weighted_bootstrap(
     which = F.lit(last) if which is None else which.otherwise(F.lit(last))
     size = F.lit(sizes[last]) if size is None else size.otherwise(F.lit(sizes[last]))
     label_type = train.schema[label].dataType
-    counts = (
+    return (
         train.sparkSession.range(total)
         .select(which.cast(label_type).alias("__cls"), F.pmod(v, size).cast("bigint").alias("__idx"))
         .groupBy("__cls", "__idx")
         .agg(F.count(F.lit(1)).alias("__times"))
     )
+
+
+def weighted_bootstrap(
+    train: DataFrame, label: str, key: Sequence[str | Column], seed: int | str = 42, copies: str = ""
+) -> DataFrame:
+    """As many draws with replacement as there are rows, by class-balancing weights.
+
+    A draw picks a class by the classes' weight mass and a row inside it evenly, which is
+    the same distribution as picking one row by its own weight.
+    """
+    sizes = {c: n for c, n in class_sizes(train, label).items() if c is not None}
+    counts = _bootstrap_draws(train, label, sizes, seed)
     keyed = train.where(F.col(label).isNotNull()).withColumn(HASH, hash_key(key, seed))
     indexed = dense_index(keyed, HASH, max(sizes.values()), by=label)
     hit = (F.col(label) == F.col("__cls")) & (F.col("idx") == F.col("__idx"))
@@ -144,6 +152,55 @@ def weighted_bootstrap(
     return drawn.select(*[c for c in train.columns if c != copies], *([copies] if copies else []))
 
 
+def resampling_weights(
+    train: DataFrame,
+    label: str,
+    key: Sequence[str | Column],
+    techniques: Sequence[str] = ("oversample", "undersample", "bootstrap"),
+    seed: int | str = 42,
+) -> DataFrame:
+    """The rows once each, with a column per technique that says how often the technique's sample holds them.
+
+    Same draws as ``random_oversample``, ``random_undersample`` and ``weighted_bootstrap``, so that a learner with row
+    weights fits what it would fit on the copies. Rows are numbered once for all techniques. Rows without a class
+    count as the functions treat them: kept by oversampling, left out by the others.
+    """
+    unknown = set(techniques) - {"oversample", "undersample", "bootstrap"}
+    if unknown or set(techniques) & set(train.columns):
+        raise ValueError(f"no such technique, or a column of that name: {techniques}")
+    sizes = {c: n for c, n in class_sizes(train, label).items() if c is not None}
+    most, least = max(sizes.values(), default=0), min(sizes.values(), default=0)
+    kind = train.schema[label].dataType
+    draws = None
+    for name in techniques:
+        found = []
+        if name == "bootstrap" and sizes:
+            found.append(_bootstrap_draws(train, label, sizes, seed))
+        if name == "oversample":
+            for cls, n in sizes.items():
+                if n < most:
+                    counts = _class_draws(train, n, most - n, seed)
+                    found.append(counts.select(F.lit(cls).cast(kind).alias("__cls"), F.col("idx").alias("__idx"), "__times"))
+        for counts in found:
+            counts = counts.withColumn("__name", F.lit(name))
+            draws = counts if draws is None else draws.unionByName(counts)
+    keyed = train.withColumn(HASH, hash_key(key, seed))
+    rows = dense_index(keyed, HASH, max(most, 1), "__no", by=label)
+    if draws is None:
+        rows = rows.withColumns({f"__drawn_{name}": F.lit(0) for name in techniques})
+    else:
+        times = [F.sum(F.when(F.col("__name") == name, F.col("__times"))).alias(f"__drawn_{name}") for name in techniques]
+        hit = (F.col(label) == F.col("__cls")) & (F.col("__no") == F.col("__idx"))
+        rows = rows.join(draws.groupBy("__cls", "__idx").agg(*times), hit, "left")
+    drawn = {name: F.coalesce(F.col(f"__drawn_{name}"), F.lit(0)) for name in techniques}
+    counted = {
+        "oversample": lambda: F.lit(1) + drawn["oversample"],
+        "undersample": lambda: (F.col(label).isNotNull() & (F.col("__no") < least)).cast("int"),
+        "bootstrap": lambda: drawn["bootstrap"],
+    }
+    return rows.select(*train.columns, *[counted[name]().cast("double").alias(name) for name in techniques])
+
+
 def smote(
     train: DataFrame,
     label: str,

@@ -108,7 +108,7 @@ def best_technique(results: DataFrame, by: Sequence[str] = ("f1",)) -> DataFrame
 def balancing(
     train: DataFrame,
     evaluation: DataFrame,
-    samplers: Mapping[str, Sampler | None],
+    samplers: Mapping[str, Sampler | str | None],
     classifier: Callable[[], Estimator],
     label: str = "label",
     with_auc: bool = False,
@@ -116,7 +116,8 @@ def balancing(
     """Result table and fitted models of one classifier per resampled training set.
 
     (technique, accuracy, precision, recall, f1[, auc, iterations, loss], n0, n1, train_rows,
-    fit_seconds). Samplers only ever see ``train``; ``evaluation`` is scored as it is.
+    fit_seconds). Samplers only ever see ``train``; ``evaluation`` is scored as it is. In place of a sampler, the name of a
+    column of ``train`` with row weights (``resampling_weights``) fits the classifier on the same rows in memory.
     """
     spark = train.sparkSession
     train = hold_spread(train)
@@ -124,14 +125,19 @@ def balancing(
     rows, fitted = [], {}
     try:
         for name, sampler in samplers.items():
-            sample = train if sampler is None else hold_spread(sampler(train))
-            n0, n1, n = sample.agg(
-                F.count_if(F.col(label) == 0), F.count_if(F.col(label) == 1), F.count(F.lit(1))
-            ).first()
+            estimator = classifier()
+            drawn = callable(sampler)
+            sample = hold_spread(sampler(train)) if drawn else train
+            times = F.lit(1)
+            if isinstance(sampler, str):
+                estimator.setWeightCol(sampler)
+                times = F.col(sampler).cast("bigint")
+            counts = [F.coalesce(F.sum(F.when(c, times)), F.lit(0)) for c in (F.col(label) == 0, F.col(label) == 1)]
+            n0, n1, n = sample.agg(*counts, F.sum(times)).first()
             began = time.perf_counter()
-            model = classifier().fit(sample)
+            model = estimator.fit(sample)
             seconds = time.perf_counter() - began
-            if sampler is not None:
+            if drawn:
                 sample.unpersist()
             scored = model.transform(evaluation)
             m = classification_metrics(scored, label, model.getPredictionCol()).first()

@@ -139,7 +139,12 @@ def balancing_study(
         "smote": lambda d: _smote_vectors(d, key[0], neighbours),
     }
     chosen = {name: samplers[name] for name in techniques}
-    table, models = E.balancing(encoded[names[0]], encoded[names[1]], chosen, classifier, with_auc=with_auc)
+    train = encoded[names[0]]
+    if hasattr(classifier(), "setWeightCol"):  # draws become weights of the same rows, synthetic points stay rows
+        weighted = [name for name in techniques if name not in ("none", "smote")]
+        train = R.resampling_weights(train, "label", key, weighted)
+        chosen |= {name: name for name in weighted} | ({"none": None} if "none" in chosen else {})
+    table, models = E.balancing(train, encoded[names[1]], chosen, classifier, with_auc=with_auc)
     return table, models, encoded
 
 

@@ -111,6 +111,17 @@ def test_logistic_equals_newton(spark):
     np.testing.assert_allclose([*model.coefficients, model.intercept], w, atol=1e-5)
 
 
+def test_weights_fit_what_copies_fit(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 2))
+    frame = pd.DataFrame({"x": list(x), "label": (x[:, 0] + rng.normal(size=300) > 0.5).astype(float), "w": rng.integers(0, 4, 300)})
+    df = spark.createDataFrame(frame).withColumn("features", array_to_vector("x"))
+    copies = df.withColumn("i", F.explode(F.array_repeat(F.lit(1), F.col("w").cast("int"))))
+    one = Logistic(tol=1e-12, weightCol="w").fit(df)
+    two = Logistic(tol=1e-12).fit(copies)
+    np.testing.assert_allclose([*one.coefficients, one.intercept], [*two.coefficients, two.intercept], atol=1e-6)
+
+
 def test_forest_does_not_depend_on_the_partitions(spark):
     rng = np.random.default_rng(9)
     x = rng.normal(size=(900, 3))

@@ -109,6 +109,21 @@ def test_tiny_imbalance(imbalance):
     assert R.keep_all(imbalance).count() == 10
 
 
+def test_weights_are_the_numbers_of_copies(spark):
+    rows = [(i, "abbccccc"[i % 8] if i % 11 else None) for i in range(400)]
+    train = spark.createDataFrame(rows, "id int, y string").repartition(5)
+    weighted = {r["id"]: r for r in R.resampling_weights(train, "y", ["id"]).collect()}
+    assert len(weighted) == 400
+    for name, f in (("oversample", R.random_oversample), ("undersample", R.random_undersample), ("bootstrap", R.weighted_bootstrap)):
+        copies = {r["id"]: r["count"] for r in f(train, "y", ["id"]).groupBy("id").count().collect()}
+        assert copies == {i: r[name] for i, r in weighted.items() if r[name]}
+    for one in (train.where("y = 'a'"), train.where("y IS NULL")):
+        got = R.resampling_weights(one, "y", ["id"], ["oversample", "undersample"]).collect()
+        assert len(got) == one.count() and {r["oversample"] for r in got} == {1.0}
+    with pytest.raises(ValueError):
+        R.resampling_weights(train, "y", ["id"], ["smote"])
+
+
 def test_smote_points_lie_between_neighbours(imbalance):
     out = R.smote(imbalance, "y", "id", "x", k=2)
     assert out.count() == 14 and out.where("synthetic").count() == 4
