@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from tabstudy.session import SMALL_ROWS, collect_bounded, small_table
+from tabstudy.session import SMALL_ROWS, collect_bounded, cut_lineage, small_table
 
 DIGITS = 13  # hex digits of the key used for brackets: exact in a double
 SPACE = 16**DIGITS
@@ -249,3 +249,19 @@ def totals_before(
     return local.join(coarse, match).select(
         *totals.columns, *[(F.col(n) + F.col(f"__far_{n}")).alias(n) for n in names.values()]
     )
+
+
+def rank_rows(df: DataFrame, order: Sequence[Column], output: str = "position") -> DataFrame:
+    """Rows with their place 1, 2, … in ``order``, which must not tie, without a window over all of them.
+
+    Rows are sorted into ranges once and numbered inside; only a count per range is summed over ranges.
+    """
+    sorted_rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    numbers = [F.monotonically_increasing_id().alias("__seq"), F.spark_partition_id().cast("bigint").alias("__part")]
+    held = cut_lineage(sorted_rows.select("*", *numbers))
+    ranges = held.groupBy("__part").agg(F.min("__seq").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    starts = totals_before(ranges, "__part", ["__n"]).select(
+        F.col("__part").alias("__p"), (F.col("__before_n") - F.col("__first")).alias("__shift")
+    )
+    place = (F.col("__seq") + F.col("__shift") + 1).alias(output)
+    return held.join(starts, F.col("__part") == F.col("__p")).select(*df.columns, place)

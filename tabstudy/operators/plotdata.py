@@ -5,13 +5,13 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabstudy.functions.columns import percent_of, within_axes
-from tabstudy.operators.keyed import hash_key, lowest_rows
+from tabstudy.operators.keyed import hash_key, lowest_rows, rank_rows
 from tabstudy.operators.profile import value_counts
 from tabstudy.operators.quantiles import quantile_table
-from tabstudy.session import SMALL_ROWS, collect_bounded, hold_small, small_table
+from tabstudy.session import hold_small, small_table
 
 # A Gaussian this many bandwidths away adds less than 1e-17 of its peak.
 KDE_REACH = 9.0
@@ -151,16 +151,9 @@ def scatter_sample(df: DataFrame, key: Sequence[str], x: str, y: str, hue: str,
 
 
 def frequency_bars(df: DataFrame, column: str) -> DataFrame:
-    """(column, count, position): bars in falling frequency.
-
-    One row per bar of a figure, so the values are held as a small table; a column with
-    more of them than that is refused rather than ranked in a single task.
-    """
-    bars = value_counts(df, column)
-    held = collect_bounded(bars, SMALL_ROWS, f"bars of {column}")
-    schema = T.StructType([*bars.schema.fields, T.StructField("position", T.IntegerType())])
-    ranked = [(r[0], r[1], i + 1) for i, r in enumerate(held)]
-    return small_table(df.sparkSession, ranked, schema)
+    """(column, count, position): bars in falling frequency, equal ones by value; any number of them."""
+    order = [F.desc("count"), F.asc(column)]
+    return rank_rows(value_counts(df, column), order).withColumn("position", F.col("position").cast("int"))
 
 
 def matrix_cells(df: DataFrame, row: str, columns: Sequence[str]) -> DataFrame:

@@ -245,3 +245,17 @@ def test_scratch_needs_a_shared_folder():
     session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *_: None))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(session)
+
+
+def test_bars_are_ranked_over_many_ranges(spark):
+    from tabstudy.operators.plotdata import frequency_bars
+
+    rows = [(i % 700,) for i in range(3000)] + [(None,)] * 50 + [(7,)] * 400
+    got = frequency_bars(spark.createDataFrame(rows, "v int").repartition(6), "v").collect()
+    counts: dict = {}
+    for (v,) in rows:
+        if v is not None:
+            counts[v] = counts.get(v, 0) + 1
+    order = sorted(counts, key=lambda v: (-counts[v], v))
+    assert sorted(map(tuple, got)) == sorted((v, counts[v], i + 1) for i, v in enumerate(order))
+    assert frequency_bars(spark.createDataFrame([], "v int"), "v").collect() == []
