@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tabstudy.catalog.registry import Tables, bind
 from tabstudy.functions.columns import label_of
+from tabstudy.models.iterative import LogisticSAGA, RidgeLSQR
 from tabstudy.models.linear import Logistic, Ridge, linear_history
 from tabstudy.models.mlp import NeuralNet
 from tabstudy.models.target import ScaledTarget, label_scale
@@ -243,6 +244,17 @@ def logistic_loose(t: Tables):
     return both.agg((F.max(gap) < 0.01).alias("near"), F.count(F.lit(1)).alias("n"))
 
 
+@bind("ml_02_saga", f"SELECT round(weight, 2) AS weight, round(intercept, 2) AS intercept FROM ({logistic_sql()})")
+def logistic_saga(t: Tables):
+    """The same objective by a gradient memory per row: the optimum that Newton's method finds, to two digits."""
+    label = label_of("l_returnflag", "R").cast("double").alias("label")
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", (F.col("l_quantity") / 50).alias("x"), label)
+    rows = VectorAssembler(inputCols=["x"], outputCol="features").transform(rows)
+    model = LogisticSAGA(key=["l_orderkey", "l_linenumber"], tol=1e-4).fit(rows)
+    found = [(round(float(model.coefficients[0]), 2), round(model.intercept, 2))]
+    return t.spark.createDataFrame(found, "weight double, intercept double")
+
+
 LINES = "(SELECT l_quantity AS a, l_discount * 100 AS b, l_extendedprice AS y FROM lineitem)"
 
 
@@ -277,6 +289,22 @@ def ridge_predictions(t: Tables):
     return model.transform(rows).select("id", F.round("prediction", 3).alias("prediction"))
 
 
+@bind(
+    "ml_05_lsqr",
+    ridge_sql(LINES, "1000.0")
+    + " SELECT round(wa, 4) AS wa, round(wb, 4) AS wb, round(my - wa * ma - wb * mb, 3) AS intercept FROM s, w",
+)
+def ridge_lsqr(t: Tables):
+    """Ridge by bidiagonalisation: the coefficients of the normal equations without forming them."""
+    rows = t.lineitem.select(
+        F.col("l_quantity").alias("a"), (F.col("l_discount") * 100).alias("b"), F.col("l_extendedprice").alias("y")
+    )
+    rows = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(rows)
+    model = RidgeLSQR(alpha=1000.0, labelCol="y").fit(rows)
+    wa, wb = (round(float(c), 4) for c in model.coefficients)
+    return t.spark.createDataFrame([(wa, wb, round(model.intercept, 3))], "wa double, wb double, intercept double")
+
+
 def stump_sql(rounds: int, weight: float = 0.1, start: str = "sum(s) OVER () / sum(n) OVER ()") -> str:
     """Least-squares boosting with one-split trees over p_size, from the mean of the label on."""
     sql = f"""WITH d AS (SELECT p_size AS x, count(*)::DOUBLE AS n, sum(p_retailprice) AS s FROM part GROUP BY 1),
