@@ -155,6 +155,17 @@ def test_density_matches_brute_force(spark, decimals):
     np.testing.assert_allclose(curve["scaled"], want * len(x) * (x.max() - x.min()) / 30, rtol=1e-9, atol=1e-9)
 
 
+@pytest.mark.parametrize("far", [0.5, 40.0, 1e6])
+def test_density_is_near_the_sum_of_kernels(spark, far):
+    """Below 1e-12 of the peak, whether the far value lies beside the others or a million units off, with nulls about."""
+    x = np.append(np.random.default_rng(5).normal(size=700), [far, far])
+    df = spark.createDataFrame([(float(v),) for v in x] + [(None,), (float("nan"),)], "x double")
+    got = V.density_curve(df, "x", 50).toPandas()["density"]
+    h = x.std(ddof=1) * len(x) ** -0.2
+    want = np.exp(-(((np.linspace(x.min(), x.max(), 50)[:, None] - x) / h) ** 2) / 2).sum(1) / (len(x) * h * np.sqrt(2 * np.pi))
+    assert np.abs(got - want).max() < 1e-12 * want.max()
+
+
 def test_histogram_matches_numpy(spark):
     x = np.random.default_rng(3).normal(size=1000)
     got = V.histogram(spark.createDataFrame(pd.DataFrame({"x": x})), "x", 60).toPandas()
