@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html as markup
 import re
+import time
 
 import pytest
 
@@ -34,12 +35,24 @@ PAGE = (
         ("<article><p>open <b class='x", "open"),
         ("<article><p>1 < 2 & 3 <", "1 < 2 & 3 <"),
         ("<body><nav>n</nav></body>", ""),
+        ("<div class=content><p>intro</p><div class=wp-block><p>" + "inner " * 20 + "</p></div><p>end</p></div>", "intro\n\n" + "inner " * 19 + "inner\n\nend"),
+        ("<table><tr><td class=a>one cell</td><td class=b>other</td></tr></table>", "one cell\n\nother"),
+        ("<article><p>t</p><h2 id='related-work'>Related</h2><p>u</p></article>", "t\n\nRelated\n\nu"),
+        ("<div class='content-sidebar-wrap'><p>whole</p></div>", "whole"),
+        ("<body>Skip<div class=page><div class=story><p>" + "w " * 30 + "</p></div><div class=box>b</div></div></body>", " ".join("w" * 30)),
     ],
 )
 def test_rules(page, text):
     assert htmltext.main_text(page, None) == text
 
 
+def test_deep_pages_take_linear_time():
+    began = time.process_time()
+    assert htmltext.main_text("<div>x" * 100_000, None) == "\n\n".join("x" * 100_000)
+    assert htmltext.main_text("<div class=share>x" * 20_000, None) == "\n\n".join("x" * 20_000)
+    assert time.process_time() - began < 20
+
+
 def test_paths_fold_digits():
     scores = htmltext.candidate_scores(htmltext.parse(PAGE))
     assert list(scores) == ["html>body.has-sidebar>main>article.post-#"]
