@@ -16,6 +16,7 @@ from tabstudy.models.target import ScaledTarget, label_scale
 from tabstudy.models.trees import boosting, forest
 from tabstudy.operators import features as FE
 from tabstudy.operators.profile import drop_identifiers
+from tabstudy.operators.vocabulary import hot_slots, vocabulary
 from tabstudy.plans import experiment as E
 from tabstudy.session import hold_spread
 
@@ -61,6 +62,18 @@ def one_hot_ignore_unknown(t: Tables):
     return unfolded(FE.encode(fitted, t.customer), ["c_custkey"])
 
 
+@bind(
+    "fe_03_one_hot_table",
+    """SELECT p_partkey, dense_rank() OVER (ORDER BY p_name) - 1 AS name_slot,
+      (SELECT count(DISTINCT p_name) FROM part) + dense_rank() OVER (ORDER BY p_brand) - 1 AS brand_slot FROM part""",
+)
+def one_hot_table(t: Tables):
+    """Slots of a column with very many categories and one with few, looked up in a vocabulary kept as a table."""
+    columns = ["p_name", "p_brand"]
+    rows = hot_slots(t.part, ["p_partkey"], columns, vocabulary(t.part, columns))
+    return rows.select("p_partkey", F.get("slots", F.lit(0)).alias("name_slot"), F.get("slots", F.lit(1)).alias("brand_slot"))
+
+
 @bind(
     "fe_04_column_composition",
     """SELECT o_orderkey, round((o_totalprice - m) / s, 6) AS o_totalprice,
