@@ -9,12 +9,14 @@ Points are first compared inside their leaf. That, or the points around the cent
 neighbours of a leaf's points can be. Every leaf then goes down the tree as one ball, and by the triangle inequality leaves
 out cells that lie beyond its reach; of the leaves it arrives at, the points within reach are sent to it. The bound never
 drops a true neighbour, so the result is exact; it only decides how much is sent. Where it prunes little, as for
-random directions in many dimensions, the work nears all pairs, split over tasks.
+random directions in many dimensions, the work nears all pairs. Nothing is sent then: leaves are packed into one row each, and
+the packed leaves are read past every leaf, which keeps its best so far. Disk then grows with the points, time with their pairs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -27,10 +29,12 @@ from tabstudy.session import cut_lineage, hold_small
 LEAF = 2048  # points of a cell that is not cut
 FAN = 32  # pivots that cut a cell
 LEVELS = 10  # a cell that is still large then is searched in pieces
-QUERIES = 512  # points that look for neighbours in one task
+QUERIES = 2048  # points that look for neighbours in one task
 CANDIDATES = 4096  # points they look at
 BALLS = 32  # leaves that points are sent to in one task
 BLOCK = 4_000_000  # distances held at once
+SENT = 16  # copies of a point that are sent on average at most; beyond, leaves are read past each other
+PASSING = 64 << 20  # bytes of packed leaves that one task reads past its own
 SLACK = 1e-9  # relative room for rounding in the bounds
 
 
@@ -133,8 +137,10 @@ def _nearest_vectors(points: DataFrame, want: int, leaf: int, fan: int) -> DataF
     near = _search(placed, placed.select("cell", F.col("rep").alias("cand"), "ids", "x"), want)
     if levels:
         near = cut_lineage(near)
-        sent = _sent(placed, _balls(placed, near, levels, want), levels)
-        near = near.unionByName(_search(placed, sent, want))
+        balls = _balls(placed, near, levels, want)
+        sent = _sent(placed, balls, levels, SENT * placed.count())
+        far = _passed(placed, near, balls, levels, want, leaf) if sent is None else _search(placed, sent, want)
+        near = near.unionByName(far)
     best = Window.partitionBy("rep").orderBy("dist2", "cand")
     return near.withColumn("r", F.row_number().over(best)).where(F.col("r") <= want).drop("r")
 
@@ -190,7 +196,7 @@ def _grow(points: DataFrame, want: int, leaf: int, fan: int) -> tuple[DataFrame,
     placed = points.select("rep", "ids", "x", F.lit(0).cast("bigint").alias("cell"))
     levels: list[DataFrame] = []
     for level in range(LEVELS):
-        large = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > leaf).select("cell")
+        large = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > leaf)
         large = hold_small(large)
         if large.isEmpty():
             break
@@ -198,7 +204,7 @@ def _grow(points: DataFrame, want: int, leaf: int, fan: int) -> tuple[DataFrame,
         order = Window.partitionBy("cell").orderBy(hash_key(["rep"], f"pivot{level}"))  # limited before the shuffle
         pivots = cut_lineage(
             open_points.withColumn("r", F.row_number().over(order))
-            .where(F.col("r") <= fan)
+            .where(F.col("r") <= F.least(F.lit(fan), F.ceil(2 * F.col("n") / leaf)))  # no more than fill half a leaf
             .select("cell", (F.col("cell") * fan + F.col("r")).alias("child"), F.col("x").alias("centre"))
         )
         turn = F.pmod(F.xxhash64("rep", F.lit(level)), F.lit(1 << 20)).alias("turn")
@@ -260,8 +266,11 @@ def _balls(placed: DataFrame, near: DataFrame, levels: list[DataFrame], want: in
     )
 
 
-def _sent(placed: DataFrame, balls: DataFrame, levels: list[DataFrame]) -> DataFrame:
-    """(cell, cand, ids, x): per leaf the points of other leaves within its bound."""
+def _sent(placed: DataFrame, balls: DataFrame, levels: list[DataFrame], most: float = float("inf")) -> DataFrame | None:
+    """(cell, cand, ids, x): per leaf the points of other leaves within its bound.
+
+    None if the leaves that the balls arrive at hold more than ``most`` points, counted once per ball.
+    """
     rep_type = placed.schema["rep"].dataType.simpleString()
 
     def within(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -294,7 +303,122 @@ def _sent(placed: DataFrame, balls: DataFrame, levels: list[DataFrame]) -> DataF
         arrived = stay if arrived is None else arrived.unionByName(stay)
         at = cut_lineage(step)
     pairs = arrived.unionByName(at).where(F.col("ball") != F.col("cell"))
+    if most < float("inf"):
+        arrivals = pairs.groupBy("cell").agg(F.count(F.lit(1)).alias("times"))
+        held = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+        copies = arrivals.join(held, "cell").agg(F.sum(F.col("times") * F.col("n"))).first()[0]
+        if (copies or 0) > most:
+            return None
     return _meet(
         placed, pairs, "cell", ("rep", "ball"), (LEAF, BALLS), reached,
         f"cell bigint, cand {rep_type}, ids array<{rep_type}>, x array<double>",
     )
+
+
+def _passed(placed: DataFrame, near: DataFrame, balls: DataFrame, levels: list[DataFrame], want: int, leaf: int) -> DataFrame:
+    """(rep, cand, ids, dist2): per point the ``want`` nearest points of other leaves, of those no further than its own leaf's.
+
+    Leaves are packed into a row each and meet all others in a nested loop, in which a task holds ``PASSING`` bytes of them.
+    Points are shuffled once into their leaves; what a task returns is bounded by its own points, not by those that pass.
+    """
+    rep_type = placed.schema["rep"].dataType.simpleString()
+    nodes = levels[0]
+    for level in levels[1:]:
+        nodes = nodes.unionByName(level)
+    # a leaf is one piece, unless it could not be cut
+    pieces = placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / leaf).cast("int").alias("pieces"))
+    marks = balls.withColumnRenamed("ball", "cell").join(nodes.select("cell", "radius"), "cell").join(pieces, "cell")
+    marks = hold_small(marks)
+    order = Window.partitionBy("rep").orderBy("dist2", "cand")
+    last = near.withColumn("r", F.row_number().over(order)).where(F.col("r") == want).select("rep", "dist2")
+    rows = placed.join(last, "rep", "left").join(marks.select("cell", "pieces"), "cell")
+    piece = F.pmod(F.xxhash64("rep"), "pieces").cast("int").alias("piece")
+    own = F.coalesce("dist2", F.lit(float("inf"))).alias("own")
+
+    def packed(points: pa.Table) -> pa.Table:
+        lists = [
+            pa.ListArray.from_arrays(pa.array([0, len(points)], pa.int32()), points[name].combine_chunks())
+            for name in ("rep", "ids")
+        ]
+        raw = [pa.array([m.tobytes()], pa.binary()) for m in (_matrix(points["x"]), np.asarray(points["own"]))]
+        names = ["cell", "piece", "reps", "ids", "x", "own"]
+        return pa.table([points["cell"].slice(0, 1), points["piece"].slice(0, 1), *lists, *raw], names=names)
+
+    leaves = rows.select("cell", piece, "rep", "ids", "x", own).groupBy("cell", "piece").applyInArrow(
+        packed, f"cell bigint, piece int, reps array<{rep_type}>, ids array<array<{rep_type}>>, x binary, own binary"
+    )
+    leaves = cut_lineage(leaves.join(marks.drop("pieces"), "cell"))
+    n, held = leaves.agg(F.count("cell"), F.sum(F.length("x"))).first()
+    cores = placed.sparkSession.sparkContext.defaultParallelism
+    one = leaves.repartition(min(n, max(4 * cores, math.ceil(n / 4))))
+    others = leaves.select(*(F.col(c).alias(f"other_{c}") for c in ("cell", "reps", "ids", "x", "centre", "radius")))
+    others = others.repartition(math.ceil(held / PASSING))
+    gap = F.zip_with("centre", "other_centre", lambda a, b: (a - b) * (a - b))
+    apart = F.sqrt(F.aggregate(gap, F.lit(0.0), lambda s, v: s + v))
+    within = ~(apart > (F.col("bound") + F.col("other_radius")) * (1 + SLACK) + SLACK)
+    met = one.join(others.hint("shuffle_replicate_nl"), (F.col("cell") != F.col("other_cell")) & within)
+
+    def best(found: pa.Table) -> tuple[pa.Table, np.ndarray]:
+        """The ``want`` first of every point, and where the last of them are."""
+        found = found.sort_by([(c, "ascending") for c in ("point", "dist2", "cand")])
+        point = np.asarray(found["point"])
+        rank = np.arange(len(point)) - np.searchsorted(point, point)
+        return found.filter(pa.array(rank < want)), np.flatnonzero(rank[rank < want] == want - 1)
+
+    def pass_by(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        leaf_at, found = None, None
+
+        def out() -> list[pa.RecordBatch]:
+            if found is None:
+                return []
+            columns = [reps.take(found["point"]), *(found[c] for c in ("cand", "ids", "dist2"))]
+            return pa.table(columns, names=["rep", "cand", "ids", "dist2"]).combine_chunks().to_batches()
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                cells = {name: batch.column(name)[i] for name in batch.schema.names}
+                if leaf_at != (cells["cell"], cells["piece"]):
+                    yield from out()
+                    leaf_at, found, reps = (cells["cell"], cells["piece"]), None, cells["reps"].values
+                    x = np.frombuffer(cells["x"].as_buffer()).reshape(len(reps), -1)
+                    reach = np.frombuffer(cells["own"].as_buffer()).copy()
+                    centre, bound = np.asarray(cells["centre"].values)[None, :], cells["bound"].as_py()
+                b = np.frombuffer(cells["other_x"].as_buffer()).reshape(-1, x.shape[1])
+                near_ball = np.flatnonzero(~(np.sqrt(_distances(b, centre)[:, 0]) > bound * (1 + SLACK) + SLACK))
+                who, where, dist2 = _within(x, b[near_ball], reach)
+                if len(who):
+                    where = pa.array(near_ball[where])
+                    columns = [pa.array(who), *(cells[c].values.take(where) for c in ("other_reps", "other_ids")), pa.array(dist2)]
+                    new = pa.table(columns, names=["point", "cand", "ids", "dist2"])
+                    found, ends = best(new if found is None else pa.concat_tables([found, new]))
+                    point = np.asarray(found["point"])[ends]
+                    reach[point] = np.fmin(reach[point], np.asarray(found["dist2"])[ends])
+        yield from out()
+
+    seen = met.select(
+        "cell", "piece", "reps", "x", "own", "centre", "bound", "other_reps", "other_ids", "other_x"
+    )
+    return cut_lineage(seen.mapInArrow(pass_by, f"rep {rep_type}, cand {rep_type}, ids array<{rep_type}>, dist2 double"))
+
+
+def _within(a: np.ndarray, b: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of ``a``, row of ``b``, squared distance) of pairs not further than the row's squared ``reach``.
+
+    Scalar products, less what they may be off, leave most pairs out; the others get their distance as everywhere.
+    """
+    room = 8 * (a.shape[1] + 8) * np.finfo(float).eps
+    with np.errstate(all="ignore"):
+        most = reach - (1 - room) * (a * a).sum(axis=1) + np.finfo(float).tiny
+        left, right = np.c_[a, np.ones(len(a))], np.c_[-2 * b, (1 - room) * (b * b).sum(axis=1)].T
+        found = []
+        for at in _blocks(len(a), len(b)):
+            rows = slice(at, at + _rows(len(b)))
+            who, where = np.nonzero(~(left[rows] @ right > most[rows, None]))  # also what is no number
+            who += at
+            dist2 = np.zeros(len(who))
+            for j in range(a.shape[1]):
+                d = a[who, j] - b[where, j]
+                dist2 += d * d
+            kept = ~(dist2 > reach[who])
+            found.append((who[kept], where[kept], dist2[kept]))
+    return tuple(np.concatenate(c) for c in zip(*found))

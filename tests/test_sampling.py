@@ -229,6 +229,50 @@ def test_leaves_far_away_are_not_searched(spark):
     assert 0 < sent < 900 * balls.count() / 5
 
 
+@pytest.mark.parametrize("shape", [*SHAPES, "directions"])
+def test_leaves_read_past_each_other(spark, monkeypatch, shape):
+    """The same neighbours if no point is sent, with several packed leaves per task and several tasks per leaf."""
+    from tabstudy.operators import neighbours
+
+    monkeypatch.setattr(neighbours, "SENT", 0)
+    monkeypatch.setattr(neighbours, "PASSING", 1 << 15)
+    rng = np.random.default_rng(5)
+    x = SHAPES[shape](rng) if shape in SHAPES else rng.normal(size=(300, 32))
+    assert tree_neighbours(spark, x, 4, leaf=25, fan=4) == plain_neighbours(x, 4)
+
+
+def test_points_sent_do_not_grow_with_the_leaves(spark, monkeypatch):
+    """Random directions prune nothing: sending would make a copy of every point for every other leaf."""
+    from tabstudy.operators import neighbours
+
+    x = np.random.default_rng(6).normal(size=(800, 32))
+    looked_at, search = [], neighbours._search
+
+    def counted(queries, candidates, want):
+        looked_at.append(candidates.count())
+        return search(queries, candidates, want)
+
+    monkeypatch.setattr(neighbours, "_search", counted)
+    assert tree_neighbours(spark, x, 3, leaf=25, fan=8) == plain_neighbours(x, 3)
+    assert sum(looked_at) <= (neighbours.SENT + 1) * len(x)
+
+
+def test_distances_within_reach_are_not_missed():
+    """Products lose all digits far from the origin; copies, infinite and undefined components are kept."""
+    from tabstudy.operators import neighbours
+
+    rng = np.random.default_rng(7)
+    a, b = rng.normal(size=(40, 8)) + 1e8, rng.normal(size=(50, 8)) + 1e8
+    b[:5] = a[:5]
+    d = neighbours._distances(a, b)
+    reach = np.sort(d, axis=1)[:, 3]
+    who, where, dist2 = neighbours._within(a, b, reach)
+    assert sorted(zip(who, where, dist2)) == [(i, j, d[i, j]) for i in range(40) for j in range(50) if d[i, j] <= reach[i]]
+    b[7, 2], b[9, 3] = np.nan, np.inf
+    who, where, _ = neighbours._within(a, b, np.full(40, np.inf))
+    assert len(who) == 40 * 50
+
+
 def test_small_state_is_the_same_held_either_way(spark):
     from tabstudy.session import hold_small
 
