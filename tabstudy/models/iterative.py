@@ -16,13 +16,14 @@ from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasMaxIter, HasPredictionCol, HasTol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tabstudy.operators.keyed import hash_key
 from tabstudy.session import hold_spread, scratch_path
 
 SHARD_ROWS = 25_000  # rows of a shard of SAGA at most
 SHARD_VALUES = 4_000_000  # and features times rows
+ABREAST_VALUES = 2_000_000  # features times rows of the shards that one task steps through together
 LOST_DIGITS = 1e5  # growth of the recurrence's factors at which LSQR starts again from where it is
 
 
@@ -208,7 +209,8 @@ class LogisticSAGA(Estimator, _Linear):
     row remembers the residual it had when last seen, in a table beside the shards. In an epoch every shard starts from the
     shared weights and visits its rows in a new order; a step follows the change of the row's remembered gradient plus
     the mean of all remembered ones. Then the shards' weights are averaged by their rows and the mean is summed anew.
-    At the optimum every step is zero, however many shards there are. The length of a step follows from the largest row,
+    At the optimum every step is zero, however many shards there are. A task steps through its shards abreast, one row of each at
+    a time, which leaves every shard the steps it takes alone. The length of a step follows from the largest row,
     as usual for SAGA, and is halved when the mean gradient has doubled.
     The fit ends when no weight moved by more than ``tol`` times the largest, or after ``maxIter`` epochs.
 
@@ -247,9 +249,10 @@ class LogisticSAGA(Estimator, _Linear):
         n, width, largest = rows.agg(F.count("y"), F.max(_width()), F.max(square)).first()
         if not n:
             raise ValueError("no rows to fit")
-        shards = _shards(rows, n, width).persist(StorageLevel.MEMORY_AND_DISK)
+        shards, tasks = _shards(rows, n, width)
+        shards = shards.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            w, epochs = self._descend(shards, n, width, largest)
+            w, epochs = self._descend(shards, tasks, n, width, largest)
         finally:
             shards.unpersist()
         model = LinearScore(
@@ -262,7 +265,7 @@ class LogisticSAGA(Estimator, _Linear):
         )
         return model._resetUid(self.uid)
 
-    def _descend(self, shards: DataFrame, n: int, width: int, largest: float) -> tuple[np.ndarray, int]:
+    def _descend(self, shards: DataFrame, tasks: int, n: int, width: int, largest: float) -> tuple[np.ndarray, int]:
         penalty = 1.0 / (self.getOrDefault("C") * n)
         smooth = 0.25 * (largest + 1) + penalty
         rate = 1.0 / (2 * smooth + min(2 * n * penalty, smooth))
@@ -271,11 +274,11 @@ class LogisticSAGA(Estimator, _Linear):
         # two tables take turns: an epoch reads one and overwrites the other, so that no state outlives its use
         turns = [scratch_path(shards.sparkSession, "saga") for _ in range(2)]
         unseen = shards.select("shard", F.lit(None).cast("binary").alias("seen"))
-        memory = _kept(_epoch(shards, unseen, w, None, n, 0.0, penalty, 0, seed), turns[0])
+        memory = _kept(_epoch(shards, unseen, tasks, w, None, n, 0.0, penalty, 0, seed), turns[0])
         moved, mean = _means(memory, n, width + 1)
         steep = math.inf
         for epoch in range(1, self.getMaxIter() + 1):
-            memory = _kept(_epoch(shards, memory, w, mean, n, rate, penalty, epoch, seed), turns[epoch % 2])
+            memory = _kept(_epoch(shards, memory, tasks, w, mean, n, rate, penalty, epoch, seed), turns[epoch % 2])
             moved, mean = _means(memory, n, width + 1)
             change, w = np.abs(moved - w).max(), moved
             slope = np.abs(mean + penalty * np.append(w[:-1], 0.0)).max()
@@ -287,8 +290,11 @@ class LogisticSAGA(Estimator, _Linear):
         return w, epoch
 
 
-def _shards(rows: DataFrame, n: int, width: int) -> DataFrame:
-    """(shard, n, x, y): rows packed into dense blocks, dealt and ordered by their hash, beside their shard's number."""
+def _shards(rows: DataFrame, n: int, width: int) -> tuple[DataFrame, int]:
+    """(shard, n, x, y): rows packed into dense blocks, dealt and ordered by their hash, beside their shard's number.
+
+    And the number of tasks that the blocks are dealt to.
+    """
     most = max(1, min(SHARD_ROWS, SHARD_VALUES // max(width, 1)))
     parts = math.ceil(n / most)
 
@@ -318,11 +324,18 @@ def _shards(rows: DataFrame, n: int, width: int) -> DataFrame:
 
     dealt = rows.repartition(parts, "h").sortWithinPartitions("h").select("x", "y")
     blocks = dealt.mapInArrow(packed, "shard bigint, n int, x binary, y binary")
-    return blocks.repartition(parts, "shard")
+    tasks = _tasks(rows.sparkSession, parts, most * (width + 1))
+    return blocks.repartition(tasks, "shard"), tasks
+
+
+def _tasks(spark: SparkSession, shards: int, values: int) -> int:
+    """Tasks of an epoch: rounds of all cores, with about ``ABREAST_VALUES`` each; it decides the time, not the result."""
+    cores = spark.sparkContext.defaultParallelism
+    return min(shards, cores * math.ceil(shards * values / (ABREAST_VALUES * cores)))
 
 
 def _epoch(
-    shards: DataFrame, memory: DataFrame, w: np.ndarray, mean: np.ndarray | None, n: int, rate: float, penalty: float, epoch: int, seed: int
+    shards: DataFrame, memory: DataFrame, tasks: int, w: np.ndarray, mean: np.ndarray | None, n: int, rate: float, penalty: float, epoch: int, seed: int
 ) -> DataFrame:
     """(shard, seen, w, g): what the rows remember after an epoch, the shard's weights times its rows, its summed gradients.
 
@@ -331,21 +344,37 @@ def _epoch(
     width = len(w) - 1
 
     def ran(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        abreast, longest = [], 0
         for batch in batches:
             for shard, size, xs, ys, seen in zip(*(c.to_pylist() for c in batch.columns)):
                 x = np.c_[np.frombuffer(xs).reshape(size, width), np.ones(size)]
                 y = np.frombuffer(ys)
-                own, at = np.array(w), None
                 if mean is None:
-                    at = _sigmoid(x @ own) - y
-                else:
-                    at = np.frombuffer(seen).copy()
-                    _saga_steps(x, y, at, own, np.array(mean), n, rate, penalty, np.random.default_rng([seed, epoch, shard]))
-                cells = [[shard], [at.tobytes()], [own * size], [at @ x]]
-                types = [pa.int64(), pa.binary(), pa.list_(pa.float64()), pa.list_(pa.float64())]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cells, types)], names=["shard", "seen", "w", "g"])
-
-    met = shards.join(memory.select("shard", "seen"), "shard").select("shard", "n", "x", "y", "seen")
+                    yield from noted([(shard, x, _sigmoid(x @ w) - y, w)])
+                    continue
+                longest = max(longest, x.size)
+                if abreast and (len(abreast) + 1) * longest > ABREAST_VALUES:
+                    yield from stepped(abreast)
+                    abreast, longest = [], x.size
+                abreast.append((shard, x, y, np.frombuffer(seen)))
+        if abreast:
+            yield from stepped(abreast)
+
+    def stepped(abreast: list[tuple]) -> Iterator[pa.RecordBatch]:
+        orders = [np.random.default_rng([seed, epoch, shard]).permutation(len(y)) for shard, _, y, _ in abreast]
+        xs, ys, seens = ([a[i] for a in abreast] for i in (1, 2, 3))
+        ats, weights = _saga_steps(xs, ys, seens, orders, w, mean, n, rate, penalty)
+        yield from noted([(shard, x, at, own) for (shard, x, *_), at, own in zip(abreast, ats, weights)])
+
+    def noted(shards: list[tuple]) -> Iterator[pa.RecordBatch]:
+        for shard, x, at, own in shards:
+            cells = [[shard], [at.tobytes()], [own * len(x)], [at @ x]]
+            types = [pa.int64(), pa.binary(), pa.list_(pa.float64()), pa.list_(pa.float64())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cells, types)], names=["shard", "seen", "w", "g"])
+
+    # dealt like the shards, so that the join leaves those where they are
+    dealt = memory.select("shard", "seen").repartition(tasks, "shard")
+    met = shards.join(dealt, "shard").select("shard", "n", "x", "y", "seen")
     return met.mapInArrow(ran, "shard bigint, seen binary, w array<double>, g array<double>")
 
 
@@ -359,17 +388,38 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(z, -500, 500)))
 
 
-def _saga_steps(x, y, at, w, mean, n, rate, penalty, rng) -> None:
-    """One visit of every row, in place: ``at`` the remembered residuals, ``w`` the weights."""
-    decay = np.full(len(w), penalty)
-    decay[-1] = 0.0
-    for i in rng.permutation(len(y)).tolist():
-        row = x[i]
-        new = 1.0 / (1.0 + math.exp(-min(max(row @ w, -500.0), 500.0))) - y[i]
-        change = (new - at[i]) * row
-        w -= rate * (change + mean + decay * w)
-        mean += change / n
-        at[i] = new
+def _saga_steps(
+    xs: list[np.ndarray], ys: list[np.ndarray], seens: list[np.ndarray], orders: list[np.ndarray],
+    start: np.ndarray, mean: np.ndarray, n: int, rate: float, penalty: float,
+) -> tuple[list[np.ndarray], np.ndarray]:
+    """One visit of every row of every shard, each in its own order from the same start: the new residuals, and the weights per shard.
+
+    Shards do not know of each other; the i-th rows of all are one step, so that its cost in Python is shared.
+    """
+    sizes = np.array([len(y) for y in ys])
+    by_size = np.argsort(-sizes, kind="stable")  # those that still have rows come first
+    longest, many, width = sizes.max(), len(ys), len(start)
+    x, y, at = np.zeros((longest, many, width)), np.zeros((longest, many)), np.zeros((longest, many))
+    for place, s in enumerate(by_size):
+        x[: sizes[s], place], y[: sizes[s], place], at[: sizes[s], place] = xs[s][orders[s]], ys[s][orders[s]], seens[s][orders[s]]
+    w, means = np.tile(start, (many, 1)), np.tile(mean, (many, 1))
+    keep = np.full(width, 1.0 - rate * penalty)
+    keep[-1] = 1.0
+    left = many - np.searchsorted(np.sort(sizes), np.arange(longest), side="right")
+    for i, alive in enumerate(left.tolist()):
+        row, own, mine = x[i, :alive], w[:alive], means[:alive]
+        z = np.einsum("sf,sf->s", row, own)
+        new = 1.0 / (1.0 + np.exp(-np.minimum(np.maximum(z, -500.0), 500.0))) - y[i, :alive]
+        change = (new - at[i, :alive])[:, None] * row
+        own *= keep
+        own -= rate * (change + mine)
+        mine += change / n
+        at[i, :alive] = new
+    ats, weights = [np.empty(size) for size in sizes], np.empty((many, width))
+    for place, s in enumerate(by_size):
+        ats[s][orders[s]] = at[: sizes[s], place]
+        weights[s] = w[place]
+    return ats, weights
 
 
 def _means(memory: DataFrame, n: int, width: int) -> Sequence[np.ndarray]:

@@ -93,3 +93,41 @@ def test_saga_stops_and_leaves_nulls_out(spark):
     assert model.getOrDefault("passes") == 2 and model.coefficients[0] > 0
     with pytest.raises(ValueError, match="no rows"):
         LogisticSAGA(key=["id"]).fit(df.limit(0))
+
+
+def test_saga_shards_abreast_take_their_own_steps():
+    """Shards of uneven sizes, stepped through together, end where each ends alone, row by row."""
+    rng = np.random.default_rng(6)
+    sizes, n, rate, penalty = [7, 1, 30, 30, 12], 80, 0.2, 0.01
+    xs = [np.c_[rng.normal(size=(m, 3)), np.ones(m)] for m in sizes]
+    ys = [rng.integers(0, 2, m).astype(float) for m in sizes]
+    seens = [rng.normal(size=m) for m in sizes]
+    orders, start, mean = [rng.permutation(m) for m in sizes], rng.normal(size=4), rng.normal(size=4)
+    ats, weights = iterative._saga_steps(xs, ys, seens, orders, start, mean, n, rate, penalty)
+    for x, y, seen, order, at, own in zip(xs, ys, seens, orders, ats, weights):
+        w, g, seen = start.copy(), mean.copy(), seen.copy()
+        for i in order:
+            new = 1 / (1 + np.exp(-(x[i] @ w))) - y[i]
+            change = (new - seen[i]) * x[i]
+            w -= rate * (change + g + penalty * np.append(w[:-1], 0.0))
+            g += change / n
+            seen[i] = new
+        np.testing.assert_allclose(own, w, rtol=1e-9)
+        np.testing.assert_allclose(at, seen, rtol=1e-9)
+
+
+def test_saga_tasks_do_not_grow_with_the_shards(spark, monkeypatch):
+    """Many small shards share the steps of a few tasks, and every row is in one of them."""
+    monkeypatch.setattr(iterative, "SHARD_ROWS", 10)
+    rng = np.random.default_rng(8)
+    ran, epoch = [], iterative._epoch
+
+    def counted(*args):
+        out = epoch(*args)
+        ran.append((out.count(), out.rdd.getNumPartitions()))
+        return out
+
+    monkeypatch.setattr(iterative, "_epoch", counted)
+    LogisticSAGA(key=["id"], maxIter=1).fit(vectors(spark, rng.normal(size=(900, 1)), rng.integers(0, 2, 900).astype(float)))
+    cores = spark.sparkContext.defaultParallelism
+    assert len(ran) == 2 and all(shards >= 90 and tasks <= cores for shards, tasks in ran)
